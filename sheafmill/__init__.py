@@ -1 +1,8 @@
 """Corpus preparation, tokenization and experiment-log analytics as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no installation.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -170,9 +170,9 @@ def population_top5(spark: SparkSession, d: str) -> DataFrame:
     p AS (SELECT run_tag, seq, val_bpb, status, list_sort(list({{'v': val_bpb, 's': seq, 'c': commit}})
                  FILTER (WHERE status <> 'CRASH') OVER (PARTITION BY run_tag ORDER BY seq)) AS seen,
           FROM results),
-    q AS (SELECT *, status <> 'CRASH' AND list_contains(list_transform(seen[1:5], x -> x.s), seq) AS entered FROM p)
+    q AS (SELECT *, status <> 'CRASH' AND list_contains(list_transform(seen[1:5], lambda x: x.s), seq) AS entered FROM p)
     SELECT run_tag, seq, val_bpb, entered, CASE WHEN entered AND len(seen) > 5 THEN seen[6].c END AS evicted,
-           array_to_string(list_transform(seen[1:5], x -> x.c), ' ') AS members FROM q""",
+           array_to_string(list_transform(seen[1:5], lambda x: x.c), ' ') AS members FROM q""",
 )
 def population_replay(spark: SparkSession, d: str) -> DataFrame:
     return replay.population_replay(results(spark, d)).select(

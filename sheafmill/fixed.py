@@ -13,9 +13,11 @@ BODY_FIELD = "confession"
 # Separator of the concatenated duplicate key.
 KEY_SEPARATOR = "|||"
 
-# Characters str.strip() removes, as a regular-expression class body.
-STRIP_CLASS = (
-    r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Characters that count as whitespace at the ends of a text.
+STRIP_CHARS = (
+    "\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Cell texts that a CSV reader may take for a missing value.

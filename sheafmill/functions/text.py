@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafmill import fixed
 
-_SHORT_ESCAPES = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r"}
-_COMMON_CONTROLS = (9, 10, 13)
-_RARE_CONTROLS = tuple(c for c in range(32) if c not in _COMMON_CONTROLS)
+_RARE_CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 
 def col(c: Column | str) -> Column:
@@ -20,8 +16,7 @@ def col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove every Unicode whitespace character from both ends (SQL trim takes only spaces)."""
-    edge = f"[{fixed.STRIP_CLASS}]+"
-    return F.regexp_replace(col(c), F.lit(rf"^{edge}|{edge}\z"), F.lit(""))
+    return F.btrim(col(c), F.lit(fixed.STRIP_CHARS))
 
 
 def text_or_empty(c: Column | str) -> Column:
@@ -32,26 +27,27 @@ def text_or_unknown(c: Column | str) -> Column:
     return F.when(text_or_empty(c) == "", F.lit("unknown")).otherwise(col(c))
 
 
-def _escape(c: Column, codes: tuple[int, ...]) -> Column:
-    def one(acc: Column, code: int) -> Column:
-        return F.replace(acc, F.lit(chr(code)), F.lit(_SHORT_ESCAPES.get(code, f"\\u{code:04x}")))
-
-    return reduce(one, codes, c)
+def _lower_hex(c: Column, digit: str) -> Column:
+    """Write one hex digit of control-character escapes in lower case, outside escaped backslashes."""
+    found = rf"(?<!\\)((?:\\\\)*)\\u00([01]){digit}"
+    return F.regexp_replace(c, F.lit(found), F.lit(rf"$1\\u00$2{digit.lower()}"))
 
 
 def json_string(c: Column | str) -> Column:
     """A JSON string literal: quotes, backslashes and control characters escaped, all else kept.
 
-    Most texts hold no control character beyond tab and line ends, so the long chain of
-    replacements sits behind a test.
+    Few texts hold a control character beyond tab and line ends, so five plain replacements do
+    for nearly all; the others go through to_json, whose hex digits are upper case.
     """
     c = col(c)
-    quoted = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    common = _escape(quoted, _COMMON_CONTROLS)
-    rare = F.when(
-        c.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), _escape(common, _RARE_CONTROLS)
-    ).otherwise(common)
-    return F.concat(F.lit('"'), rare, F.lit('"'))
+    plain = c
+    for char, escape in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        plain = F.replace(plain, F.lit(char), F.lit(escape))
+    whole = F.to_json(F.struct(c.alias("v")))
+    literal = F.substring(whole, F.lit(6), F.length(whole) - 6)
+    for digit in "ABCDEF":
+        literal = _lower_hex(literal, digit)
+    return F.when(c.rlike(_RARE_CONTROL), literal).otherwise(F.concat(F.lit('"'), plain, F.lit('"')))
 
 
 def _is_removed(body: Column) -> Column:
@@ -59,16 +55,20 @@ def _is_removed(body: Column) -> Column:
 
 
 def json_document(title: Column | str, body: Column | str) -> Column:
-    """The structured document of stripped, non-null fields; '' when there is nothing to say."""
+    """The structured document of stripped, non-null fields; '' when there is nothing to say.
+
+    Without a usable body the title is the text, and then it is not named as a title.
+    """
     title, body = col(title), col(body)
-    head = json_string(title)
-    lone = F.concat(F.lit(f'{{"{fixed.BODY_FIELD}": '), head, F.lit("}"))
-    rest = F.concat(F.lit(f'"{fixed.BODY_FIELD}": '), json_string(body), F.lit("}"))
-    return (
-        F.when(_is_removed(body) | (body == ""), F.when(title == "", F.lit("")).otherwise(lone))
-        .when(title == "", F.concat(F.lit("{"), rest))
-        .otherwise(F.concat(F.lit(f'{{"{fixed.TITLE_FIELD}": '), head, F.lit(", "), rest))
+    no_body = _is_removed(body) | (body == "")
+    head = F.when(no_body | (title == ""), F.lit("")).otherwise(
+        F.concat(F.lit(f'"{fixed.TITLE_FIELD}": '), json_string(title), F.lit(", "))
+    )
+    text = F.when(no_body, title).otherwise(body)
+    document = F.concat(
+        F.lit("{"), head, F.lit(f'"{fixed.BODY_FIELD}": '), json_string(text), F.lit("}")
     )
+    return F.when(text == "", F.lit("")).otherwise(document)
 
 
 def plain_document(title: Column | str, body: Column | str) -> Column:
@@ -133,3 +133,15 @@ def gigabytes(mb: Column | str) -> Column:
 def display_bytes(token: Column | str) -> Column:
     """UTF-8 length of a token decoded alone: each malformed part counts as one U+FFFD."""
     return F.octet_length(F.make_valid_utf8(col(token).cast("string")))
+
+
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add or replace columns that are costly and used more than once.
+
+    A filter on a computed column is pushed below the projection with a copy of its expression,
+    so a long text rule would run for the filter and again for its result. A one-row generator
+    stops that and stays inside generated code.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    values = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(values)))

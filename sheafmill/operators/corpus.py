@@ -14,9 +14,7 @@ from sheafmill.operators.ordered import with_position
 
 def stripped(posts: DataFrame) -> DataFrame:
     """Posts with both text columns stripped and never NULL."""
-    return posts.withColumns(
-        {c: tx.strip(tx.text_or_empty(c)) for c in ("title", "selftext")}
-    )
+    return tx.once(posts, {c: tx.strip(tx.text_or_empty(c)) for c in ("title", "selftext")})
 
 
 def combine_json(posts: DataFrame, max_chars: int | None = None) -> DataFrame:
@@ -28,11 +26,11 @@ def combine_json(posts: DataFrame, max_chars: int | None = None) -> DataFrame:
     fields = stripped(posts)
     if max_chars is not None:
         fields = fields.where(F.char_length("title") + F.char_length("selftext") <= max_chars)
-    return fields.withColumn("text", tx.json_document("title", "selftext"))
+    return tx.once(fields, {"text": tx.json_document("title", "selftext")})
 
 
 def combine_plain(posts: DataFrame) -> DataFrame:
-    return stripped(posts).withColumn("text", tx.plain_document("title", "selftext"))
+    return tx.once(stripped(posts), {"text": tx.plain_document("title", "selftext")})
 
 
 def within_length(

@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "sheafmill") -> SparkSessio
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("SHEAFMILL_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
