@@ -31,9 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
     """`documents` as posts: first line is the title, the rest the body; some bodies removed."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    documents = table(spark, sf_dir, "documents") if documents is None else documents
+    return documents.selectExpr(
         "doc_id",
         "source AS subreddit",
         r"split_part(text, '\n', 1) AS title",
@@ -43,9 +44,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_results(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """`events` as the experiment logs of four runs, statuses still as written."""
-    return table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events") if events is None else events
+    return events.selectExpr(
         "event_id AS seq",
         "concat('run', user_id % 4) AS run_tag",
         "substring(md5(CAST(event_id AS STRING)), 1, 7) AS commit",

@@ -14,18 +14,25 @@ STATUSES = ("keep", "discard", "crash", "keep-sa")
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Log rows in line order; the run is the name of the file or of its folder.
+    """Log rows in line order; the run is the folder `run_tag=...` or else the file.
 
     A log is cut at tabs, not parsed as quoted text: descriptions may hold quotes and commas.
+    Files of one run follow each other by time of writing, then by name.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("run_tag"),
-        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"),
+    text = spark.read.text(path)
+    run = F.col("run_tag").cast("string") if "run_tag" in text.columns else F.col("_metadata.file_path")
+    lines = text.select(
+        "value",
+        run.alias("run_tag"),
+        F.struct(
+            "_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("_at"),
     )
     header = "\t".join(fixed.RESULT_COLUMNS)
     body = lines.where((F.col("value") != header) & (tx.strip("value") != ""))
+    placed = with_rank(body, ["run_tag"], [F.col("_at")], "_n")
     cells = F.split("value", "\t", len(fixed.RESULT_COLUMNS))
-    placed = with_rank(body, ["run_tag"], [F.col("_block"), F.col("_line")], "_n")
     columns = [F.get(cells, F.lit(i)).alias(name) for i, name in enumerate(fixed.RESULT_COLUMNS)]
     return normalised(placed.select("run_tag", (F.col("_n") - 1).alias("seq"), *columns))
 
@@ -49,6 +56,7 @@ def write_results(results: DataFrame, path: str, mode: str = "append") -> None:
         F.lower(tx.strip("status")),
         F.coalesce("description", F.lit("")),
     )
+    # Ranges of (run, line): a long run becomes several files whose names follow its order.
     rows = results.select("run_tag", "seq", line.alias("value"))
-    rows = rows.repartition("run_tag").sortWithinPartitions("run_tag", "seq")
+    rows = rows.repartitionByRange("run_tag", "seq").sortWithinPartitions("run_tag", "seq")
     rows.select("run_tag", "value").write.mode(mode).partitionBy("run_tag").text(path)
