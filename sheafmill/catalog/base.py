@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafmill.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -31,10 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def posts(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     """`documents` as posts: first line is the title, the rest the body; some bodies removed."""
-    documents = table(spark, sf_dir, "documents") if documents is None else documents
-    return documents.selectExpr(
+    source = documents(spark, sf_dir) if source is None else source
+    return source.selectExpr(
         "doc_id",
         "source AS subreddit",
         r"split_part(text, '\n', 1) AS title",

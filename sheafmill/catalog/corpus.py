@@ -63,10 +63,16 @@ _PROFILE_FLOATS = ("mean_len", "median", "p75", "p90", "p95", "p99")
     SELECT subreddit, {_PROFILE_SQL} FROM firsts GROUP BY subreddit""",
 )
 def corpus_profile_by_source(spark: SparkSession, d: str) -> DataFrame:
-    """The flagship: clean, first-wins de-duplicated documents, profiled per source."""
+    """The flagship: clean, first-wins de-duplicated documents, profiled per source.
+
+    Only lengths are wanted in the end, so texts are compared by digest and never shuffled.
+    """
     docs = corpus.within_length(corpus.combine_json(posts(spark, d), 2000))
-    firsts = docs.groupBy("text").agg(F.min_by("subreddit", "doc_id").alias("subreddit"))
-    by_source = profile.length_profile(firsts, F.char_length("text"), ["subreddit"])
+    digests = docs.select(
+        F.sha2("text", 256).alias("digest"), F.char_length("text").alias("len"), "doc_id", "subreddit"
+    )
+    firsts = digests.groupBy("digest", "len").agg(F.min_by("subreddit", "doc_id").alias("subreddit"))
+    by_source = profile.length_profile(firsts, F.col("len"), ["subreddit"])
     return rounded(by_source, *_PROFILE_FLOATS, places=4)
 
 

@@ -19,7 +19,7 @@ from sheafmill.catalog.base import (
 from sheafmill.catalog.corpus import _PLACED_SQL, SHARD_ROWS, VAL_ROWS
 from sheafmill.operators import corpus, experiments
 from sheafmill.plans.corpus import prepare_corpus
-from sheafmill.session import scratch_path
+from sheafmill.session import scratch_path, spread
 from sheafmill.sources import posts as post_source
 from sheafmill.sources import results as result_source
 from sheafmill.sources import runlogs, shards, submissions
@@ -146,7 +146,8 @@ def step_telemetry(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey", F.col("l_discount") * 100, F.round(F.col("l_extendedprice") / 1000, 6),
         (F.col("l_quantity") * 10).cast("int"), F.col("l_partkey") * 1000, mfu, "l_linenumber",
     )
-    lines = table(spark, d, "lineitem").select(F.expr("concat('run', l_suppkey % 3)").alias("run_tag"), line.alias("value"))
+    items = spread(table(spark, d, "lineitem"), "l_orderkey")
+    lines = items.select(F.expr("concat('run', l_suppkey % 3)").alias("run_tag"), line.alias("value"))
     return runlogs.parse_steps(lines).select(
         "run_tag", "step", "pct_done", "loss", "dt_ms", "tok_per_sec", "mfu", "epoch"
     )

@@ -240,8 +240,11 @@ _STEPS_SQL = """steps AS (
 def steps(spark: SparkSession, d: str) -> DataFrame:
     from sheafmill.operators.ordered import with_rank
 
-    items = table(spark, d, "lineitem").withColumn("run_tag", F.expr("concat('run', l_suppkey % 3)"))
-    order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")]
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    items = table(spark, d, "lineitem").select(
+        F.expr("concat('run', l_suppkey % 3)").alias("run_tag"), *keys, "l_discount", "l_tax", "l_quantity"
+    )
+    order = [F.col(c) for c in keys]
     return with_rank(items, ["run_tag"], order, "step").selectExpr(
         "run_tag", "step - 1 AS step", "2 + l_discount * 10 + l_tax AS loss",
         "0.2e0 + l_quantity / 1000 AS dt_s", "32768L AS tokens",

@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafmill.catalog.base import CLEAN_SQL, posts, query, rounded, table
+from sheafmill.catalog.base import CLEAN_SQL, documents, posts, query, rounded, table
 from sheafmill.catalog.corpus import _PLACED_SQL, _PROFILE_FLOATS, _sharded
 from sheafmill.functions import text as tx
 from sheafmill.operators import corpus, profile, sequence
@@ -23,8 +23,7 @@ BATCH = 16
 
 @lru_cache(maxsize=4)
 def _trained(app: str, sf_dir: str) -> tk.Vocabulary:
-    documents = SparkSession.active().read.parquet(f"{sf_dir}/documents.parquet")
-    return tk.train_bpe(documents, VOCAB_SIZE)
+    return tk.train_bpe(documents(SparkSession.active(), sf_dir), VOCAB_SIZE)
 
 
 def vocabulary(spark: SparkSession, d: str) -> tk.Vocabulary:
@@ -34,7 +33,7 @@ def vocabulary(spark: SparkSession, d: str) -> tk.Vocabulary:
 
 @query("pretoken_counts")
 def pretoken_counts(spark: SparkSession, d: str) -> DataFrame:
-    counts = tk.piece_counts(table(spark, d, "documents"))
+    counts = tk.piece_counts(documents(spark, d))
     return counts.select(F.md5(F.col("piece").cast("binary")).alias("piece_digest"), "n")
 
 
@@ -44,7 +43,7 @@ def pretoken_counts(spark: SparkSession, d: str) -> DataFrame:
 )
 def pretoken_cover(spark: SparkSession, d: str) -> DataFrame:
     """Pre-tokens put together again, piece by piece, must be the text."""
-    pieces = table(spark, d, "documents").select("doc_id", tk.pieces_of("text").alias("pieces"))
+    pieces = documents(spark, d).select("doc_id", tk.pieces_of("text").alias("pieces"))
     again = tx.once(pieces, {"text": F.array_join("pieces", "")})
     return again.select(
         "doc_id", F.md5(F.col("text").cast("binary")).alias("digest"),
@@ -84,13 +83,13 @@ def vocab_json(spark: SparkSession, d: str) -> DataFrame:
 def encode_bytes(spark: SparkSession, d: str) -> DataFrame:
     """Without merges every byte is a token."""
     plain = tk.Vocabulary([bytes([b]) for b in range(256)])
-    encoded = tk.encode(table(spark, d, "documents"), plain)
+    encoded = tk.encode(documents(spark, d), plain)
     return encoded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"))
 
 
 @query("encode_rows")
 def encode_rows(spark: SparkSession, d: str) -> DataFrame:
-    encoded = tk.encode(table(spark, d, "documents"), vocabulary(spark, d), prepend_bos=True)
+    encoded = tk.encode(documents(spark, d), vocabulary(spark, d), prepend_bos=True)
     digest = F.md5(F.array_join("tokens", ",").cast("binary"))
     return encoded.select("doc_id", F.size("tokens").alias("n_tokens"), digest.alias("tokens_digest"))
 
@@ -98,13 +97,13 @@ def encode_rows(spark: SparkSession, d: str) -> DataFrame:
 @query("decode_round_trip", "SELECT doc_id, md5(text) AS digest FROM documents")
 def decode_round_trip(spark: SparkSession, d: str) -> DataFrame:
     known = vocabulary(spark, d)
-    encoded = tk.encode(table(spark, d, "documents"), known)
+    encoded = tk.encode(documents(spark, d), known)
     return encoded.select("doc_id", F.md5(tk.decoded("tokens", known).cast("binary")).alias("digest"))
 
 
 @query("round_trip_check", "SELECT 0::BIGINT AS n_failures")
 def round_trip_check(spark: SparkSession, d: str) -> DataFrame:
-    failures = tk.round_trip_failures(table(spark, d, "documents"), vocabulary(spark, d))
+    failures = tk.round_trip_failures(documents(spark, d), vocabulary(spark, d))
     return failures.agg(F.count(F.lit(1)).alias("n_failures"))
 
 

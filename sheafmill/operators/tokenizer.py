@@ -105,9 +105,18 @@ def vocabulary_facts(vocab: DataFrame) -> DataFrame:
 # --- pre-tokens ---
 
 
+def _java_pattern() -> str:
+    """The split pattern with Unicode case folding and whitespace asked for where they matter.
+
+    That is faster than the Unicode flag for the whole pattern.
+    """
+    spelled = fixed.SPLIT_PATTERN.replace("(?i:", "(?iu:")
+    return spelled.replace(r"\s", r"\p{IsWhite_Space}").replace(r"\S", r"\P{IsWhite_Space}")
+
+
 def pieces_of(text: Column | str) -> Column:
     """The pre-tokens of a text, in order; together they are the whole text."""
-    return F.regexp_extract_all(col(text), F.lit("(?U)" + fixed.SPLIT_PATTERN), F.lit(0))
+    return F.regexp_extract_all(col(text), F.lit(_java_pattern()), F.lit(0))
 
 
 def pretokenize(docs: DataFrame, key: str) -> DataFrame:

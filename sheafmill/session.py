@@ -47,3 +47,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     return jvm_path.getFileSystem(conf).exists(jvm_path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give small inputs to all cores before costly per-row work.
+
+    A small file may consist of a single row group, which one task reads. Inputs that fill every
+    core with whole splits are left alone: for them an exchange would only cost.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, *keys) if size < cores * split else df

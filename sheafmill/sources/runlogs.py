@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill import fixed
@@ -36,18 +36,27 @@ def parse_summaries(lines: DataFrame) -> DataFrame:
 
 
 def parse_steps(lines: DataFrame) -> DataFrame:
-    """One row per progress line; `mfu: n/a` is NULL."""
-    part = [F.regexp_extract("value", fixed.STEP_PATTERN, i) for i in range(1, 10)]
+    """One row per progress line; `mfu: n/a` is NULL.
+
+    A line is matched once and cut once; its fields then have fixed names in front of them.
+    """
     found = lines.where(F.col("value").rlike(fixed.STEP_PATTERN))
-    return found.select(
+    start = F.locate("step ", F.col("value"))
+    fields = F.split(F.substring("value", start, F.length("value")), " \\| ")
+    cut = tx.once(found, {"_f": fields})
+
+    def field(i: int, name: str, unit: str = "") -> Column:
+        return F.substring_index(F.substring(F.col("_f")[i], len(name) + 1, 40), unit or " ", 1)
+
+    return cut.select(
         "run_tag",
-        part[0].cast("long").alias("step"),
-        part[1].cast("double").alias("pct_done"),
-        part[2].try_cast("double").alias("loss"),
-        part[3].cast("double").alias("lrm"),
-        part[4].cast("int").alias("dt_ms"),
-        F.replace(part[5], F.lit(","), F.lit("")).cast("long").alias("tok_per_sec"),
-        F.replace(part[6], F.lit("%"), F.lit("")).try_cast("double").alias("mfu"),
-        part[7].cast("int").alias("epoch"),
-        part[8].cast("int").alias("remaining_s"),
+        field(0, "step ").cast("long").alias("step"),
+        F.substring_index(F.substring_index(F.col("_f")[0], "(", -1), "%", 1).cast("double").alias("pct_done"),
+        field(1, "loss: ").try_cast("double").alias("loss"),
+        field(2, "lrm: ").cast("double").alias("lrm"),
+        field(3, "dt: ", "ms").cast("int").alias("dt_ms"),
+        F.replace(field(4, "tok/sec: "), F.lit(","), F.lit("")).cast("long").alias("tok_per_sec"),
+        field(5, "mfu: ", "%").try_cast("double").alias("mfu"),
+        field(6, "epoch: ").cast("int").alias("epoch"),
+        field(7, "remaining: ", "s").cast("int").alias("remaining_s"),
     )
