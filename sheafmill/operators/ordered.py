@@ -28,6 +28,12 @@ CHUNK_ROWS = 100_000
 MAP_SIDE_TOP = 1_000
 
 
+def _slice_of(key: str) -> Column:
+    """Never NULL, so that the join on it adds no filter to one side only: the counting pass and
+    the placing pass then share every exchange below them."""
+    return F.coalesce(F.substring(key, 1, SLICE_DIGITS), F.lit(""))
+
+
 def with_position(
     df: DataFrame, key: str, out: str = "pos", total: str | None = None, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
@@ -37,7 +43,7 @@ def with_position(
     slices are then put together to groups of about `group_rows` rows, and each group is sorted
     by itself.
     """
-    sliced = df.withColumn("_slice", F.substring(key, 1, SLICE_DIGITS))
+    sliced = df.withColumn("_slice", _slice_of(key))
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     everything = W.orderBy("_slice")
     before = F.sum("_n").over(everything.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_n")
@@ -58,7 +64,7 @@ def with_position(
 
 def first_by_position(df: DataFrame, key: str, n: int, group_rows: int = GROUP_ROWS) -> DataFrame:
     """The first `n` rows in key order, however large `n` is; later slices never get shuffled."""
-    sliced = df.withColumn("_slice", F.substring(key, 1, SLICE_DIGITS))
+    sliced = df.withColumn("_slice", _slice_of(key))
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     w = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, W.currentRow)
     needed = sizes.select("_slice", (F.sum("_n").over(w) - F.col("_n")).alias("_before")).where(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql.window import Window as W
 from sheafmill import fixed
 from sheafmill.operators.experiments import RUN, is_status
 from sheafmill.operators.fold import State, fold_rows
-from sheafmill.operators.ordered import CHUNK_ROWS, chunk_of
+from sheafmill.operators.ordered import CHUNK_ROWS, chunk_of, top_per_group
 
 _STATE = T.StructType(
     [
@@ -119,13 +118,16 @@ def population_replay(
     part = [RUN, "_chunk"]
     inside = _running_best(log, part, ["seq"], "_me", size)
 
-    # What each chunk adds, and from that the best items of all chunks before it.
-    ends = inside.groupBy(*part).agg(F.max_by(F.array(*levels), "seq").alias("_items"))
-    spread = ends.select(*part, F.posexplode("_items").alias("_level", "_me"))
-    after = _running_best(spread, [RUN], ["_chunk", "_level"], "_me", size)
-    after = after.where(F.col("_level") == size - 1).select(*part, F.array(*levels).alias("_after"))
-    by_chunk = W.partitionBy(RUN).orderBy("_chunk")
-    carried = after.select(*part, F.lag("_after").over(by_chunk).alias("_carry"))
+    # The best items of each chunk, and from them the best of all chunks before it.
+    best = top_per_group(
+        log.where(F.col("_me").isNotNull()).select(*part, "_me"), part, [F.col("_me")], size, "_level"
+    )
+    known_by = _running_best(best, [RUN], ["_chunk", "_level"], "_me", size)
+    after = known_by.groupBy(*part).agg(F.max_by(F.array(*levels), "_level").alias("_after"))
+    earlier = W.partitionBy(RUN).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    carried = log.select(*part).distinct().join(after, part, "left").select(
+        *part, F.last("_after", ignorenulls=True).over(earlier).alias("_carry")
+    )
 
     nothing = F.array().cast(after.schema["_after"].dataType)
     known = F.array_sort(

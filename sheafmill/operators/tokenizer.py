@@ -24,6 +24,8 @@ from sheafmill.session import materialise
 # Ranked pairs looked at per training round, and rounds between two written word tables.
 CANDIDATES = 256
 ROUNDS_PER_TABLE = 24
+# Symbols are packed three to a number: 21 bits each.
+_LOW = (1 << 21) - 1
 
 VOCAB_SCHEMA = T.StructType(
     [
@@ -184,38 +186,52 @@ def _merged(words: DataFrame, pairs: list[tuple[int, int, int, int]]) -> DataFra
 
 
 def _contexts(words: DataFrame, pairs: list[tuple[int, int, int, int]]) -> DataFrame:
-    """Every neighbour pair (a, b) after the given merges with the symbol c behind it, or -1."""
+    """Counts of neighbour pairs (a, b) after the given merges with the symbol c behind them, or -1.
+
+    Counts are per Arrow batch, for the aggregation that follows.
+    """
     table = _table(pairs)
 
     def run(batches):
         for batch in batches:
             symbols, word = _after(batch, table)
-            a, b = symbols[:-1], symbols[1:]
-            joined = word[:-1] == word[1:]
-            c = np.append(np.where(joined[1:], symbols[2:], -1), -1)[: len(a)].astype(np.int32)
-            n = batch.column(1).to_numpy(zero_copy_only=False)[word[:-1]]
-            columns = [pa.array(x[joined]) for x in (a, b, c, n)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "c", "n"])
+            joined = np.append(word[:-1] == word[1:], False)[: len(word)]
+            behind = np.where(np.append(joined[1:], False), np.append(symbols[2:], (-1, -1))[: len(symbols)], -1)
+            at = np.flatnonzero(joined)
+            spelled = np.stack([symbols[at], symbols[at + 1], behind[at]]).astype(np.int64)
+            code = (spelled[0] << 42) | (spelled[1] << 21) | (spelled[2] + 1)
+            distinct, which = np.unique(code, return_inverse=True)
+            counts = batch.column(1).to_numpy(zero_copy_only=False)[word[at]]
+            # A weighted bincount adds in doubles: exact up to 2**53 occurrences in a batch.
+            n = np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.int64)
+            a, b = distinct >> 42, (distinct >> 21) & _LOW
+            columns = [x.astype(np.int32) for x in (a, b, (distinct & _LOW) - 1)] + [n]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "c", "n"])
 
     return words.mapInArrow(run, "a int, b int, c int, n long")
 
 
 def _ranked_pairs(contexts: DataFrame, tokens: list[bytes], limit: int) -> DataFrame:
-    """The most frequent neighbour pairs, with the largest count any wider context of them has."""
+    """The most frequent neighbour pairs with their commonest context on either side.
+
+    A context is packed as count * 2**21 + symbol, so that its maximum is a plain number.
+    """
     triples = contexts.groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
-    has_next = F.col("c") >= 0
+    none = F.lit(0).cast("long")
+    scaled = F.shiftleft("n", 21)
     as_pair = F.struct(
-        F.col("a").alias("l"), F.col("b").alias("r"), F.col("n").alias("n"),
-        F.when(has_next, F.col("n")).otherwise(0).alias("wider"),
+        F.col("a").alias("l"), F.col("b").alias("r"), F.col("n").alias("n"), none.alias("before"),
+        F.when(F.col("c") >= 0, scaled + F.col("c")).otherwise(none).alias("behind"),
     )
     as_tail = F.struct(
-        F.col("b").alias("l"), F.col("c").alias("r"), F.lit(0).cast("long").alias("n"), F.col("n").alias("wider")
+        F.col("b").alias("l"), F.col("c").alias("r"), none.alias("n"), (scaled + F.col("a")).alias("before"),
+        none.alias("behind"),
     )
     pairs = (
         triples.select(F.inline(F.array(as_pair, as_tail)))
         .where(F.col("r") >= 0)
         .groupBy("l", "r")
-        .agg(F.sum("n").alias("n"), F.max("wider").alias("wider"))
+        .agg(F.sum("n").alias("n"), F.max("before").alias("before"), F.max("behind").alias("behind"))
     )
     # Lower-case hex sorts like the bytes it spells.
     spelled = _spelling(tokens)
@@ -228,28 +244,46 @@ def _spelling(tokens: list[bytes]) -> Column:
     return F.split(F.lit(" ".join(t.hex() for t in tokens)), " ")
 
 
-def _independent_prefix(
+def _certain_merges(
     ranked: list, room: int, tokens: list[bytes], known: dict[bytes, int]
 ) -> list[tuple[int, int, bytes, bytes]]:
-    """The leading pairs that one-by-one training would also choose next, in this order.
+    """Merges that one-by-one training would also choose next, in this order.
+
+    Chosen pairs share no symbol, so each of them keeps its count until its turn and every one of
+    its occurrences is merged. The next pair is certain while its count is above everything that
+    earlier merges may have changed, the `ceiling`:
+
+    * a pair they create occurs at most as often as the context it comes from;
+    * a pair that shares a symbol with them keeps at most its count, less the occurrences inside
+      their commonest context, which are used up.
 
-    A later pair keeps its count when it shares no symbol with an earlier one, and stays first in
-    rank when no pair that an earlier merge can create is as frequent. A created pair occurs at
-    most as often as the context it comes from. A merge that spells a known token ends the batch.
+    A merge that spells a known token ends the batch, for it gives no new symbol.
     """
     chosen, used, ceiling = [], set(), 0
+    used_up: dict[tuple[int, int], int] = {}
     for pair in ranked:
-        if chosen and (pair["n"] <= ceiling or {pair["l"], pair["r"]} & used or len(chosen) == room):
+        left, right, n = pair["l"], pair["r"], pair["n"]
+        if chosen and (n <= ceiling or len(chosen) == room):
             break
-        left, right = tokens[pair["l"]], tokens[pair["r"]]
-        repeated = left + right in known
-        if chosen and repeated:
+        if left in used or right in used:
+            ceiling = max(ceiling, n - used_up.get((left, right), 0))
+            continue
+        spelled = tokens[left] + tokens[right]
+        if chosen and spelled in known:
             break
-        chosen.append((pair["l"], pair["r"], left, right))
-        if repeated:
+        chosen.append((left, right, tokens[left], tokens[right]))
+        if spelled in known:
             break
-        used |= {pair["l"], pair["r"]}
-        ceiling = max(ceiling, pair["wider"])
+        used |= {left, right}
+        for context, neighbour in (
+            (pair["before"], lambda symbol: (symbol, left)),
+            (pair["behind"], lambda symbol: (right, symbol)),
+        ):
+            count, symbol = context >> 21, context & _LOW
+            ceiling = max(ceiling, count)
+            if left != right and count:
+                touched = neighbour(symbol)
+                used_up[touched] = max(used_up.get(touched, 0), count)
     return chosen
 
 
@@ -269,6 +303,8 @@ def train_bpe(
     vocab = Vocabulary([bytes([b]) for b in range(256)], [], specials)
     known = {t: i for i, t in enumerate(vocab.tokens)}
     target = vocab_size - len(specials)
+    if target >= _LOW:
+        raise ValueError(f"vocab_size must stay below {_LOW}")
 
     # Every round reads this table, so it is spread over all cores once.
     cores = docs.sparkSession.sparkContext.defaultParallelism
@@ -288,7 +324,7 @@ def train_bpe(
     rounds = 0
     while len(vocab.tokens) < target:
         ranked = _ranked_pairs(_contexts(words, pending), vocab.tokens, candidates).collect()
-        chosen = _independent_prefix(ranked, target - len(vocab.tokens), vocab.tokens, known)
+        chosen = _certain_merges(ranked, target - len(vocab.tokens), vocab.tokens, known)
         if not chosen:
             break
         for left_id, right_id, left, right in chosen:
