@@ -142,9 +142,7 @@ def with_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: st
     written once before the pieces are counted.
     """
     by = list(by)
-    spark = df.sparkSession
-    pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(pieces, *[F.col(c) for c in by], *order)
+    ranged = df.repartitionByRange(*[F.col(c) for c in by], *order)
     fixed = materialise(ranged.withColumn("_piece", F.spark_partition_id()), "rank")
     part = [*by, "_piece"]
     earlier = W.partitionBy(*by).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)

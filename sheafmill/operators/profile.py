@@ -56,8 +56,8 @@ def context_fit(
     df: DataFrame, length: Column, contexts: Sequence[int] = fixed.CONTEXT_LENGTHS
 ) -> DataFrame:
     """Share of rows no longer than each context length, from one pass."""
-    sums = [F.avg((length <= c).cast("int")).alias(f"c{c}") for c in contexts]
-    pairs = ", ".join(f"{c}, c{c}" for c in contexts)
+    sums = [F.avg((length <= c).cast("int")).alias(f"c{i}") for i, c in enumerate(contexts)]
+    pairs = ", ".join(f"{c}, c{i}" for i, c in enumerate(contexts))
     return df.agg(*sums).select(
         F.expr(f"stack({len(contexts)}, {pairs}) AS (context, share)")
     )

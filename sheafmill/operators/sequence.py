@@ -57,13 +57,18 @@ def evaluation_rows(
 
 
 def bits_per_byte(losses: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Corpus metric from a token-loss table (token_id, nats, weight); zero-byte tokens do not count."""
-    scored = losses.join(F.broadcast(vocab.select("token_id", "nbytes")), "token_id").where(
-        F.col("nbytes") > 0
+    """Corpus metric from a token-loss table (token_id, nats, weight); zero-byte tokens do not count.
+
+    Losses are added up per token before the join, so a token as frequent as a space is one row
+    per map task, and the join is between two tables of the vocabulary's size.
+    """
+    per_token = losses.groupBy("token_id").agg(
+        F.sum(F.col("nats") * F.col("weight")).alias("nats"), F.sum("weight").alias("times")
     )
+    scored = per_token.join(vocab.select("token_id", "nbytes"), "token_id").where(F.col("nbytes") > 0)
     return scored.agg(
-        F.sum(F.col("nats") * F.col("weight")).alias("total_nats"),
-        F.sum(F.col("nbytes").cast("long") * F.col("weight")).alias("total_bytes"),
+        F.sum("nats").alias("total_nats"),
+        F.sum(F.col("nbytes").cast("long") * F.col("times")).alias("total_bytes"),
     ).select(
         "total_nats", "total_bytes", tx.bits_per_byte(F.col("total_nats"), F.col("total_bytes")).alias("bpb")
     )

@@ -21,18 +21,21 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_summaries(lines: DataFrame) -> DataFrame:
-    """One row per run from its `key: value` lines; a run that printed none has only NULLs."""
-    key = F.regexp_extract("value", r"^(\w+):\s+(.*)$", 1)
-    text = tx.strip(F.regexp_extract("value", r"^(\w+):\s+(.*)$", 2))
-    pairs = lines.select("run_tag", key.alias("key"), text.alias("text"))
-    last = [
-        F.max(F.when(F.col("key") == k, F.col("text"))).alias(k) for k in fixed.SUMMARY_KEYS
-    ]
-    wide = pairs.groupBy("run_tag").agg(*last)
+    """One row per run from its `key: value` lines; a run that printed none has only NULLs.
+
+    Progress lines outnumber summary lines by far and are dropped before anything is grouped.
+    """
+    pattern = rf"^({'|'.join(fixed.SUMMARY_KEYS)}):\s+(.*)$"
+    pairs = lines.where(F.col("value").rlike(pattern)).select(
+        "run_tag",
+        F.regexp_extract("value", pattern, 1).alias("key"),
+        tx.strip(F.regexp_extract("value", pattern, 2)).alias("text"),
+    )
+    wide = pairs.groupBy("run_tag").pivot("key", list(fixed.SUMMARY_KEYS)).agg(F.max("text"))
     typed = [
         F.col(k).try_cast(_NUMBERS[k]).alias(k) if k in _NUMBERS else F.col(k) for k in fixed.SUMMARY_KEYS
     ]
-    return wide.select("run_tag", *typed)
+    return lines.select("run_tag").distinct().join(wide, "run_tag", "left").select("run_tag", *typed)
 
 
 def parse_steps(lines: DataFrame) -> DataFrame:
