@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from sheafmill import fixed
 from sheafmill.functions import text as tx
 
-_FIELDS = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("title", "selftext", "subreddit", "_broken")]
-)
+_POSTS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("title", "selftext", "subreddit")]))
+# What from_json makes of values that are no strings: numbers, booleans, arrays, objects, bare NaN.
+_OTHER_VALUE = r'^(-?[0-9]|true$|false$|\[|\{|"([+-]?(INF|Infinity)|NaN)"$)'
 # Largest zstd window, as a power of two, that Spark's own reader opens.
 NATIVE_WINDOW = 27
 # Largest window the streaming decoder opens.
@@ -50,20 +50,18 @@ def parse_submissions(lines: DataFrame, line: str = "value") -> DataFrame:
     trimmed = tx.once(lines, {"_line": tx.strip(F.make_valid_utf8(line))})
     if line != "_line":
         trimmed = trimmed.drop(line)
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    parsed = tx.once(
-        trimmed.where(F.col("_line") != ""), {"_post": F.from_json("_line", _FIELDS, options)}
-    )
-    kept = parsed.where(F.col("_post").isNotNull() & F.col("_post._broken").isNull())
+    # Read as the only element of an array: text behind the object then breaks the line.
+    only = F.from_json(F.concat(F.lit("["), F.col("_line"), F.lit("]")), _POSTS, {"allowSingleQuotes": "false"})
+    parsed = tx.once(trimmed.where(F.col("_line") != ""), {"_posts": only})
+    kept = parsed.where(F.size("_posts") == 1).withColumn("_post", F.col("_posts")[0]).drop("_posts")
 
     def string_field(name: str) -> Column:
         value = F.col(f"_post.{name}")
-        # from_json also gives the text of numbers, booleans, arrays and objects. Only values that
-        # look like one of those need a second look at the line.
-        looks_other = value.rlike(r"^(-?[0-9]|true$|false$|\[|\{)")
+        # from_json gives the text of other values too. Only what looks like one of them needs a
+        # second look at the line, which fails where a key is repeated or NaN occurs.
         raw = F.try_variant_get(F.try_parse_json("_line"), f"$.{name}", "variant")
-        is_string = F.coalesce(F.schema_of_variant(raw) == "STRING", F.lit(True))
-        return F.when(value.isNull() | (looks_other & ~is_string), F.lit("")).otherwise(value)
+        is_string = F.coalesce(F.schema_of_variant(raw) == "STRING", ~value.startswith('"'))
+        return F.when(value.isNull() | (value.rlike(_OTHER_VALUE) & ~is_string), F.lit("")).otherwise(value)
 
     posts = tx.once(
         kept,

@@ -32,6 +32,13 @@ LINES = [
     b'{"title": null, "selftext": "no title", "subreddit": ""}',
     b'{"title": "bad \xff byte", "selftext": "", "subreddit": "tifu"}',
     b' {"title": "padded", "selftext": ""} ',
+    b'{"title": "x"} extra',
+    b'{"title": "x"}{"title": "y"}',
+    b'{"title": "x"},{"title": "y"}',
+    b"{'title': 'single quotes'}",
+    b'{"title": NaN, "selftext": "bare NaN"}',
+    b'{"title": "\\"NaN\\"", "score": 1e999}',
+    b'{"title": "-5 things", "nested": {"title": "y"}}',
 ]
 EXPECTED = [
     ("One", "first", "tifu"),
@@ -44,6 +51,9 @@ EXPECTED = [
     ("", "no title", "unknown"),
     ("bad \ufffd byte", "", "tifu"),
     ("padded", "", "unknown"),
+    ("", "bare NaN", "unknown"),
+    ('"NaN"', "", "unknown"),
+    ("-5 things", "", "unknown"),
 ]
 
 
