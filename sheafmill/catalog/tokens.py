@@ -7,8 +7,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafmill import fixed
 from sheafmill.catalog.base import CLEAN_SQL, documents, posts, query, rounded, table
-from sheafmill.catalog.corpus import _PLACED_SQL, _PROFILE_FLOATS, _sharded
+from sheafmill.catalog.corpus import _PLACED_SQL, _PROFILE_FLOATS, _PROFILE_SQL, _sharded
 from sheafmill.functions import text as tx
 from sheafmill.operators import corpus, profile, sequence
 from sheafmill.operators import tokenizer as tk
@@ -31,7 +32,58 @@ def vocabulary(spark: SparkSession, d: str) -> tk.Vocabulary:
     return _trained(spark.sparkContext.applicationId, d)
 
 
-@query("pretoken_counts")
+# A small vocabulary given beforehand, so that SQL can encode with it: each token has one split.
+GIVEN = ("th", "the", "in", "ing", "er", "an", "and", "on", " t", " a")
+
+
+def given_vocabulary() -> tk.Vocabulary:
+    return tk.Vocabulary([bytes([b]) for b in range(256)] + [t.encode() for t in GIVEN])
+
+
+# Pre-tokens in SQL. The dialect has no look-ahead and needs no possessive marks here, so the last
+# space of a run that a word follows is cut off by a private character first.
+_SPACE = r"\x{9}-\x{d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_BLANK = _SPACE.replace(r"\x{9}-\x{d}", r"\x{9}\x{b}\x{c}")
+_CUT = r"\x{e000}"
+_PATTERN = (
+    fixed.SPLIT_PATTERN.replace("?+", "?").replace("++", "+").replace(r"|\s+(?!\S)", "")
+    .replace(r"[^\s", f"[^{_SPACE}{_CUT}").replace(r"[^\r", rf"[^{_CUT}\r").replace(r"\s", f"[{_SPACE}]")
+    .replace("'", "''")
+)
+
+
+def pieces_sql(text: str) -> str:
+    parted = f"regexp_replace({text}, '([{_SPACE}])([{_BLANK}])([^{_SPACE}])', '\\1' || chr(57344) || '\\2\\3', 'g')"
+    return f"list_filter(regexp_extract_all({parted}, '{_PATTERN}|{_CUT}'), lambda p: p <> chr(57344))"
+
+
+def _merge_sql(spelled: str) -> str:
+    known = set()
+    for token in GIVEN:
+        cut = next(c for c in range(1, len(token)) if all(len(t) == 1 or t in known for t in (token[:c], token[c:])))
+        left, right = token[:cut].encode().hex().upper(), token[cut:].encode().hex().upper()
+        spelled = f"replace({spelled}, '<{left}><{right}>', '<{left}{right}>')"
+        known.add(token)
+    return spelled
+
+
+def tokens_sql(text: str) -> str:
+    """Token ids of a text under the given vocabulary, as a list."""
+    piece = _merge_sql("regexp_replace(hex(encode(p)), '(..)', '<\\1>', 'g')")
+    names = ", ".join(f"'{t.encode().hex().upper()}'" for t in GIVEN)
+    joined = f"array_to_string(list_transform({pieces_sql(text)}, lambda p: {piece}), '')"
+    number = f"CASE WHEN length(t) = 2 THEN ('0x' || t)::INT ELSE 255 + list_position([{names}], t) END"
+    return (
+        f"CASE WHEN {text} = '' THEN [] ELSE "
+        f"list_transform(string_split(rtrim(ltrim({joined}, '<'), '>'), '><'), lambda t: {number}) END"
+    )
+
+
+@query(
+    "pretoken_counts",
+    f"""WITH p AS (SELECT unnest({pieces_sql("text")}) AS piece FROM documents)
+    SELECT md5(piece) AS piece_digest, count(*) AS n FROM p GROUP BY piece""",
+)
 def pretoken_counts(spark: SparkSession, d: str) -> DataFrame:
     counts = tk.piece_counts(documents(spark, d))
     return counts.select(F.md5(F.col("piece").cast("binary")).alias("piece_digest"), "n")
@@ -51,6 +103,17 @@ def pretoken_cover(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "pair_counts",
+    f"""WITH p AS (SELECT unnest({pieces_sql("text")}) AS piece FROM documents),
+    c AS (SELECT hex(encode(piece)) AS h, count(*) AS n FROM p GROUP BY piece),
+    q AS (SELECT h, n, unnest(range(1, length(h) - 2, 2)) AS i FROM c)
+    SELECT substring(h, i, 4) AS pair, sum(n)::BIGINT AS n FROM q GROUP BY 1""",
+)
+def pair_counts(spark: SparkSession, d: str) -> DataFrame:
+    return tk.pair_counts(documents(spark, d)).select(F.hex("pair").alias("pair"), "n")
+
+
 @query("bpe_merges")
 def bpe_merges(spark: SparkSession, d: str) -> DataFrame:
     trained = vocabulary(spark, d)
@@ -87,13 +150,24 @@ def encode_bytes(spark: SparkSession, d: str) -> DataFrame:
     return encoded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"))
 
 
-@query("encode_rows")
-def encode_rows(spark: SparkSession, d: str) -> DataFrame:
+@query("encode_trained")
+def encode_trained(spark: SparkSession, d: str) -> DataFrame:
     encoded = tk.encode(documents(spark, d), vocabulary(spark, d), prepend_bos=True)
     digest = F.md5(F.array_join("tokens", ",").cast("binary"))
     return encoded.select("doc_id", F.size("tokens").alias("n_tokens"), digest.alias("tokens_digest"))
 
 
+@query(
+    "encode_rows",
+    f"""WITH e AS (SELECT doc_id, list_prepend({256 + len(GIVEN)}, {tokens_sql("text")}) AS tokens FROM documents)
+    SELECT doc_id, len(tokens)::INT AS n_tokens, md5(array_to_string(tokens, ',')) AS tokens_digest FROM e""",
+)
+def encode_rows(spark: SparkSession, d: str) -> DataFrame:
+    encoded = tk.encode(documents(spark, d), given_vocabulary(), prepend_bos=True)
+    digest = F.md5(F.array_join("tokens", ",").cast("binary"))
+    return encoded.select("doc_id", F.size("tokens").alias("n_tokens"), digest.alias("tokens_digest"))
+
+
 @query("decode_round_trip", "SELECT doc_id, md5(text) AS digest FROM documents")
 def decode_round_trip(spark: SparkSession, d: str) -> DataFrame:
     known = vocabulary(spark, d)
@@ -108,27 +182,61 @@ def round_trip_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _token_sizes(spark: SparkSession, d: str) -> DataFrame:
-    encoded = tk.encode(corpus.clean(posts(spark, d)), vocabulary(spark, d))
+    encoded = tk.encode(corpus.clean(posts(spark, d)), given_vocabulary())
     return encoded.select(F.size("tokens").alias("n"), tx.shuffle_key("text").alias("k"))
 
 
-@query("token_length_profile")
+_SIZES_SQL = f"""{CLEAN_SQL},
+sizes AS MATERIALIZED (SELECT text, len({tokens_sql("text")}) AS n FROM clean)"""
+
+
+@query(
+    "token_length_profile",
+    f"WITH {_SIZES_SQL}, s AS (SELECT n::DOUBLE AS len FROM sizes) SELECT {_PROFILE_SQL} FROM s",
+)
 def token_length_profile(spark: SparkSession, d: str) -> DataFrame:
     whole = profile.length_profile(_token_sizes(spark, d), F.col("n"))
     return rounded(whole, *_PROFILE_FLOATS, places=4)
 
 
-@query("context_fit")
+@query(
+    "context_fit",
+    f"""WITH {_SIZES_SQL} SELECT context, round(avg((n <= context)::INT), 6) AS share
+    FROM sizes, (SELECT unnest([64, 128, 256, 512, 1024, 2048])::INT AS context) GROUP BY context""",
+)
 def context_fit(spark: SparkSession, d: str) -> DataFrame:
     return rounded(profile.context_fit(_token_sizes(spark, d), F.col("n")), "share")
 
 
-@query("implications")
+@query(
+    "implications",
+    f"""WITH {_SIZES_SQL}, m AS (SELECT floor(median(n))::BIGINT AS m FROM sizes)
+    SELECT m AS median_tokens, m * 2 AS two_per_row_len FROM m""",
+)
 def implications(spark: SparkSession, d: str) -> DataFrame:
     return profile.implications(profile.length_profile(_token_sizes(spark, d), F.col("n")))
 
 
-@query("packing_profile")
+def _windows_sql(limit: int) -> str:
+    """Next-fit over `placed(i, n)`, row by row."""
+    return f"""fill AS (
+      SELECT 0::BIGINT AS i, 0::BIGINT AS win, (-1)::BIGINT AS room
+      UNION ALL
+      SELECT p.i, CASE WHEN p.n <= f.room THEN f.win ELSE f.win + 1 END,
+             CASE WHEN p.n <= f.room THEN f.room - p.n ELSE {limit} - p.n END
+      FROM fill f JOIN placed p ON p.i = f.i + 1),
+    windows AS (SELECT win, count(*) AS documents FROM fill WHERE i > 0 GROUP BY win)"""
+
+
+@query(
+    "packing_profile",
+    f"""WITH RECURSIVE {_SIZES_SQL},
+    placed AS MATERIALIZED (SELECT n::BIGINT AS n, row_number() OVER (ORDER BY md5('42:' || text)) AS i FROM sizes),
+    {_windows_sql(2048)}
+    SELECT count(*) AS windows, round(avg(documents), 6) AS mean_documents,
+           quantile_cont(documents, 0.5)::DOUBLE AS median_documents, min(documents) AS min_documents,
+           max(documents) AS max_documents, round(avg((documents = 1)::INT), 6) AS single_share FROM windows""",
+)
 def packing_profile(spark: SparkSession, d: str) -> DataFrame:
     placed = with_position(_token_sizes(spark, d), "k")
     return rounded(sequence.packing_profile(sequence.packed_rows(placed)), "mean_documents", "single_share")
@@ -141,13 +249,7 @@ PACK_CHARS = 5000
     "packing_profile_chars",
     f"""WITH RECURSIVE {CLEAN_SQL},
     placed AS MATERIALIZED (SELECT length(text)::BIGINT AS n, row_number() OVER (ORDER BY md5('42:' || text)) AS i FROM clean),
-    fill AS (
-      SELECT 0::BIGINT AS i, 0::BIGINT AS win, (-1)::BIGINT AS room
-      UNION ALL
-      SELECT p.i, CASE WHEN p.n <= f.room THEN f.win ELSE f.win + 1 END,
-             CASE WHEN p.n <= f.room THEN f.room - p.n ELSE {PACK_CHARS} - p.n END
-      FROM fill f JOIN placed p ON p.i = f.i + 1),
-    windows AS (SELECT win, count(*) AS documents FROM fill WHERE i > 0 GROUP BY win)
+    {_windows_sql(PACK_CHARS)}
     SELECT documents, count(*) AS windows, round(count(*) / sum(count(*)) OVER (), 6) AS share
     FROM windows GROUP BY documents""",
 )
@@ -158,9 +260,19 @@ def packing_profile_chars(spark: SparkSession, d: str) -> DataFrame:
     return rounded(sequence.packing_distribution(sequence.packed_rows(placed, PACK_CHARS)), "share")
 
 
-@query("training_rows")
+_BOS = 256 + len(GIVEN)
+
+
+@query(
+    "training_rows",
+    f"""WITH {_PLACED_SQL},
+    e AS (SELECT split, pos, list_resize(list_prepend({_BOS}, {tokens_sql("text")}), {SEQ_LEN + 1}, {_BOS}) AS r
+          FROM sharded)
+    SELECT split, pos, md5(array_to_string(r[1:{SEQ_LEN}], ',') || '|' || array_to_string(r[2:{SEQ_LEN + 1}], ','))
+      AS row_digest FROM e""",
+)
 def training_rows(spark: SparkSession, d: str) -> DataFrame:
-    known = vocabulary(spark, d)
+    known = given_vocabulary()
     encoded = tk.encode(_sharded(spark, d), known, prepend_bos=True)
     rows = sequence.training_rows(encoded, known.bos_id, SEQ_LEN)
     digest = F.md5(F.concat_ws("|", F.array_join("inputs", ","), F.array_join("targets", ",")).cast("binary"))

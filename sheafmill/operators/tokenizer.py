@@ -132,6 +132,14 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """How often each pair of neighbouring bytes occurs inside pre-tokens: what a first merge ranks."""
+    words = piece_counts(docs).select(F.encode("piece", "UTF-8").alias("piece"), "n").where(F.octet_length("piece") > 1)
+    starts = F.sequence(F.lit(1), F.octet_length("piece") - 1)
+    pairs = words.select("piece", "n", F.explode(starts).alias("i"))
+    return pairs.groupBy(F.substring("piece", F.col("i"), F.lit(2)).alias("pair")).agg(F.sum("n").alias("n"))
+
+
 def training_corpus(
     sharded: DataFrame,
     max_chars: int = fixed.TOKENIZER_MAX_CHARS,
