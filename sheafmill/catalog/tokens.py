@@ -114,7 +114,23 @@ def pair_counts(spark: SparkSession, d: str) -> DataFrame:
     return tk.pair_counts(documents(spark, d)).select(F.hex("pair").alias("pair"), "n")
 
 
-@query("bpe_merges")
+@query(
+    "bpe_merges",
+    f"""WITH RECURSIVE words AS MATERIALIZED (
+      SELECT regexp_replace(hex(encode(piece)), '(..)', '<\\1>', 'g') AS w, count(*)::BIGINT AS n
+      FROM (SELECT unnest({pieces_sql("text")}) AS piece FROM documents) GROUP BY piece),
+    walk AS (
+      SELECT 0 AS step, w, n, '' AS l, '' AS r FROM words WHERE length(w) > 4
+      UNION ALL
+      SELECT s.step + 1, replace(s.w, '<' || b.l || '><' || b.r || '>', '<' || b.l || b.r || '>'), s.n, b.l, b.r
+      FROM walk s, (
+        SELECT l, r FROM (
+          SELECT t[i] AS l, t[i + 1] AS r, n FROM (
+            SELECT t, n, unnest(range(1, len(t))) AS i FROM (SELECT string_split(w[2:-2], '><') AS t, n FROM walk)))
+        GROUP BY l, r ORDER BY sum(n) DESC, l, r LIMIT 1) b
+      WHERE s.step < {MERGES})
+    SELECT DISTINCT (step - 1)::INT AS rank, l AS "left", r AS "right" FROM walk WHERE step > 0""",
+)
 def bpe_merges(spark: SparkSession, d: str) -> DataFrame:
     trained = vocabulary(spark, d)
     return trained.merges_frame(spark).select("rank", F.hex("left").alias("left"), F.hex("right").alias("right"))
