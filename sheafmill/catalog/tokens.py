@@ -89,6 +89,19 @@ def pretoken_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts.select(F.md5(F.col("piece").cast("binary")).alias("piece_digest"), "n")
 
 
+@query(
+    "pretokenize",
+    f"""WITH p AS (SELECT doc_id, {pieces_sql("text")} AS pieces FROM documents)
+    SELECT doc_id, len(pieces)::BIGINT AS n_pieces, md5(array_to_string(pieces, chr(0))) AS pieces_digest FROM p""",
+)
+def pretokenize(spark: SparkSession, d: str) -> DataFrame:
+    pieces = tx.once(documents(spark, d).select("doc_id", "text"), {"pieces": tk.pieces_of("text")})
+    return pieces.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"),
+        F.md5(F.array_join("pieces", "\0").cast("binary")).alias("pieces_digest"),
+    )
+
+
 @query(
     "pretoken_cover",
     "SELECT doc_id, md5(text) AS digest, length(text)::BIGINT AS n_chars FROM documents",
@@ -144,6 +157,22 @@ def vocabulary_facts(spark: SparkSession, d: str) -> DataFrame:
     return tk.vocabulary_facts(vocabulary(spark, d).vocab_frame(spark))
 
 
+@query(
+    "token_byte_totals",
+    f"""WITH e AS (SELECT doc_id, unnest({tokens_sql("text")}) AS t FROM documents)
+    SELECT doc_id, count(*) AS n_tokens, sum(CASE WHEN t < 128 THEN 1 WHEN t < 256 THEN 3
+      ELSE length(list_extract({list(GIVEN)}, t - 255)) END)::BIGINT AS n_bytes FROM e GROUP BY doc_id""",
+)
+def token_byte_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes the metric would count per document: a token that is part of a character counts three."""
+    known = given_vocabulary()
+    tokens = tk.encode(documents(spark, d), known).select("doc_id", F.explode("tokens").alias("token_id"))
+    sized = tokens.join(known.vocab_frame(spark), "token_id")
+    return sized.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_tokens"), F.sum("nbytes").alias("n_bytes")
+    )
+
+
 @query("token_bytes")
 def token_bytes(spark: SparkSession, d: str) -> DataFrame:
     frame = vocabulary(spark, d).vocab_frame(spark)
