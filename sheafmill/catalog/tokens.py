@@ -167,8 +167,7 @@ def token_byte_totals(spark: SparkSession, d: str) -> DataFrame:
     """Bytes the metric would count per document: a token that is part of a character counts three."""
     known = given_vocabulary()
     tokens = tk.encode(documents(spark, d), known).select("doc_id", F.explode("tokens").alias("token_id"))
-    sized = tokens.join(known.vocab_frame(spark), "token_id")
-    return sized.groupBy("doc_id").agg(
+    return tk.with_token_bytes(tokens, known).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"), F.sum("nbytes").alias("n_bytes")
     )
 

@@ -95,6 +95,12 @@ def token_bytes(vocab: DataFrame) -> DataFrame:
     return vocab.withColumn("nbytes", F.when(F.col("is_special"), 0).otherwise(tx.display_bytes("token")))
 
 
+def with_token_bytes(tokens: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Add `nbytes` to rows with a `token_id`; the table sent along is one the driver holds anyway."""
+    sizes = vocab.vocab_frame(tokens.sparkSession).select("token_id", "nbytes")
+    return tokens.join(F.broadcast(sizes), "token_id")
+
+
 def vocabulary_facts(vocab: DataFrame) -> DataFrame:
     specials = F.col("is_special")
     return vocab.agg(
