@@ -38,10 +38,10 @@ def test_json_string_equals_json_dumps(spark):
 
 
 def plain_rule(title, body):
-    title, body = (title or "").strip(), (body or "").strip()
-    if body in ("[removed]", "[deleted]"):
-        return title
-    return "\n".join(p for p in (title, body) if p)
+    lines = [(title or "").strip(), (body or "").strip()]
+    if lines[1] in fixed.REMOVED_BODIES:
+        lines.pop()
+    return "\n".join(filter(None, lines))
 
 
 def json_rule(title, body):

@@ -198,15 +198,15 @@ def test_bits_per_byte_skips_special_tokens(spark, vocab):
 
 
 def next_fit(sizes, limit):
-    rows, i = [], 0
-    while i < len(sizes):
-        room, count = limit, 0
-        while i < len(sizes) and sizes[i] <= room:
-            room, count, i = room - sizes[i], count + 1, i + 1
-        if count == 0:
-            count, i = 1, i + 1
-        rows.append(count)
-    return rows
+    windows, room = [], -1
+    for size in sizes:
+        if size <= room:
+            windows[-1] += 1
+            room -= size
+        else:
+            windows.append(1)
+            room = limit - size
+    return windows
 
 
 CASES = [
