@@ -5,7 +5,8 @@ aggregate can combine. Folding a whole key in one task would not scale, so the o
 chunks that are folded at the same time, each from an assumed state. A chunk whose assumption
 turns out wrong is folded again from the state its predecessor really ended in, until no
 assumption is wrong. The outcome equals the one-by-one fold; states of the rules used here soon
-forget where they started, so two or three rounds are usual.
+forget where they started, so two or three rounds are usual. Keep sums, counts and minima out of a
+state, for they never forget: `ordered.running` computes them.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ def fold_rows(
     by = list(by)
     part = [*by, "_chunk"]
     fields = state_schema.fieldNames()
-    data = df.withColumn("_chunk", chunk_of(order, chunk_rows))
+    # Every round reads the rows again, so whatever made them runs only once.
+    data = materialise(df.withColumn("_chunk", chunk_of(order, chunk_rows)), "rows")
 
     per_key = W.partitionBy(*by).orderBy("_chunk")
     links = materialise(

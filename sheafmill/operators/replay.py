@@ -13,15 +13,15 @@ from pyspark.sql.window import Window as W
 from sheafmill import fixed
 from sheafmill.operators.experiments import RUN, is_status
 from sheafmill.operators.fold import State, fold_rows
-from sheafmill.operators.ordered import CHUNK_ROWS, chunk_of, top_per_group
+from sheafmill.operators.ordered import CHUNK_ROWS, chunk_of, running, top_per_group
 
+# What the next decision depends on. Best value and count do not steer the walk: they are running
+# aggregates, and kept out of the state they cannot delay the point where chunks agree.
 _STATE = T.StructType(
     [
         T.StructField("temperature", T.DoubleType()),
-        T.StructField("best_val_bpb", T.DoubleType()),
         T.StructField("current_val_bpb", T.DoubleType()),
         T.StructField("no_improve_count", T.LongType()),
-        T.StructField("experiment_count", T.LongType()),
     ]
 )
 
@@ -48,41 +48,50 @@ def annealing(
         F.when(~is_status("CRASH"), F.col("val_bpb")).alias("value"),
         (hashed_draw() if draw is None else draw).alias("draw"),
     )
+    # A value that is not accepted is no better than the one stood on, so the best value seen is
+    # also the best value accepted.
+    log = running(
+        log, [RUN], "seq", {"best_val_bpb": ("min", "value"), "experiment_count": ("count", "value")},
+        chunk_rows=chunk_rows,
+    ).withColumn("best_val_bpb", F.coalesce("best_val_bpb", F.lit(float("inf"))))
+    carried = [RUN, "seq", "best_val_bpb", "experiment_count"]
     out = T.StructType(
-        [log.schema[RUN], log.schema["seq"], T.StructField("decision", T.StringType()), *_STATE]
+        [*[log.schema[c] for c in carried], T.StructField("decision", T.StringType()), *_STATE]
     )
 
     def fold(rows: pd.DataFrame, start: State, is_last: bool) -> tuple[pd.DataFrame, State]:
-        heat, best, stand, idle, count = (start[f.name] for f in _STATE)
+        heat, stand, idle = (start[f.name] for f in _STATE)
         trace = []
         for value, draw in zip(rows["value"].to_numpy(float), rows["draw"].to_numpy(float)):
             if math.isnan(value):
-                trace.append(("crash", heat, best, stand, idle, count))
+                trace.append(("crash", heat, stand, idle))
                 continue
             delta = value - stand
             if delta < 0:
-                decision, stand, best, idle = "accept", value, min(best, value), 0
+                decision, stand, idle = "accept", value, 0
             else:
                 idle += 1
                 chance = math.exp(-delta / heat) if delta > 0 and heat > 0 else float(delta == 0)
                 decision = "accept-sa" if draw < chance else "discard"
                 stand = value if draw < chance else stand
-            heat, count = heat * fixed.COOLING, count + 1
+            heat *= fixed.COOLING
             if idle >= reheat_after:
                 heat, idle = fixed.REHEAT_TEMPERATURE, 0
-            trace.append((decision, heat, best, stand, idle, count))
+            trace.append((decision, heat, stand, idle))
         states = pd.DataFrame(trace, columns=["decision", *_STATE.fieldNames()], index=rows.index)
-        end = dict(zip(_STATE.fieldNames(), (heat, best, stand, idle, count)))
-        return pd.concat([rows[[RUN, "seq"]], states], axis=1), end
+        end = {"temperature": heat, "current_val_bpb": stand, "no_improve_count": idle}
+        return pd.concat([rows[carried], states], axis=1), end
 
     initial = {
         "temperature": fixed.START_TEMPERATURE,
-        "best_val_bpb": float("inf"),
         "current_val_bpb": float("inf"),
         "no_improve_count": 0,
-        "experiment_count": 0,
     }
-    return fold_rows(log, [RUN], "seq", fold, initial, _STATE, out, chunk_rows)
+    folded = fold_rows(log, [RUN], "seq", fold, initial, _STATE, out, chunk_rows)
+    return folded.select(
+        RUN, "seq", "decision", "temperature", "best_val_bpb", "current_val_bpb", "no_improve_count",
+        "experiment_count",
+    )
 
 
 def _running_best(df: DataFrame, part: list[str], order: list[str], item: str, size: int) -> DataFrame:
