@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sheafmill.catalog.base import Query, table
-from sheafmill.llm import exact_dedup
+from sheafmill.llm import byte_bpe, exact_dedup, quality_rules
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +30,14 @@ w AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM d JOIN w USING (h)""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op9_byte_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.quality_rules(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
