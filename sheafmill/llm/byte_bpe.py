@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame
 from sheafmill.llm.common import arrow_type, as_bytes, id_type, map_rows, texts
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: Pieces up to this many characters are remembered, at most so many of them.
-SHORT, REMEMBERED = 48, 250_000
+#: Pieces up to this many characters are remembered, so many of them in each of two generations.
+SHORT, REMEMBERED = 48, 200_000
+_NEVER, _ASK = -1, -2
 
 
 class Vocabulary:
@@ -41,7 +42,9 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.longest = max(map(len, ranks))
-        self.endings = {t[k:] for t in ranks for k in range(len(t))}
+        #: What may end a prefix: a token that merges make, _NEVER for a mere ending, _ASK if not known yet.
+        self.endings = {t[k:]: _NEVER for t in ranks for k in range(1, len(t))}
+        self.endings.update(dict.fromkeys(ranks, _ASK))
         self._right: dict[int, tuple] = {}
         self._left: dict[int, tuple] = {}
         self._parts: dict[int, tuple[int, int] | None] = {}
@@ -99,22 +102,30 @@ class Vocabulary:
 
     def extend(self, data: bytes, last: list[int], stop: int | None = None) -> list[int]:
         """`last`, the last token of each known prefix, grown to all prefixes of `data`."""
-        ranks, endings, beside, longest = self.ranks, self.endings, self.beside, self.longest
+        find, known, beside, longest = self.endings.get, self._beside, self.beside, self.longest
         for end in range(len(last) + 1, (len(data) if stop is None else stop) + 1):
-            for size in range(1, min(end, longest) + 1):
-                suffix = data[end - size : end]
-                if suffix not in endings:
-                    raise ValueError(f"no token ends the first {end} bytes")
-                token = ranks.get(suffix)
-                if token is None or not self.reachable(token):
-                    continue
-                if size == end or beside(last[end - size - 1], token):
+            fitting = []
+            for start in range(end - 1, max(end - longest, 0) - 1, -1):
+                token = find(data[start:end])
+                if token is None:
+                    break
+                if token == _ASK:
+                    token = self._settle(data[start:end])
+                if token >= 0:
+                    fitting.append((start, token))
+            for start, token in reversed(fitting):
+                if not start or (known.get((last[start - 1], token)) or beside(last[start - 1], token)):
                     last.append(token)
                     break
             else:
                 raise ValueError(f"no token ends the first {end} bytes")
         return last
 
+    def _settle(self, data: bytes) -> int:
+        token = self.ranks[data]
+        self.endings[data] = token if self.reachable(token) else _NEVER
+        return self.endings[data]
+
     def ids(self, last: list[int]) -> list[int]:
         """The encoding that the stored last tokens spell, read from the end."""
         found, at = [], len(last)
@@ -164,15 +175,16 @@ class Encoded:
 
 
 class Pieces(dict):
-    """Encodings of pieces by their text; short ones are remembered."""
+    """Encodings of pieces by their text; short ones are remembered, what is in use stays."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.old = vocabulary, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        made = self.vocabulary.encode_piece(piece.encode())
+        made = self.old.get(piece) or self.vocabulary.encode_piece(piece.encode())
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = made
         return made

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sheafmill.catalog.base import Query, table
-from sheafmill.llm import byte_bpe, exact_dedup, packing, quality_rules
+from sheafmill.llm import byte_bpe, exact_dedup, packing, quality_rules, simhash
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
