@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sheafmill.catalog.base import Query, table
-from sheafmill.llm import byte_bpe, exact_dedup, packing, quality_rules, simhash
+from sheafmill.llm import byte_bpe, exact_dedup, packing, quality_rules, simhash, suffix_dedup
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op6_pattern_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
