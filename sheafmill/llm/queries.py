@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sheafmill.catalog.base import Query, table
-from sheafmill.llm import byte_bpe, exact_dedup, packing, quality_rules, simhash, suffix_dedup
+from sheafmill.llm import (
+    byte_bpe, exact_dedup, html_text, packing, quality_rules, sharding, simhash, suffix_dedup, token_counts,
+)
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -32,11 +34,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op2_edit_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.edit_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op3_html_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+#: Shards of the registered query.
+SHARDS = 256
+
+
+@query("op5_table_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.place(docs, sharding.fill(sharding.names(SHARDS)))
+
+
 @query("op6_pattern_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
