@@ -1,18 +1,66 @@
-"""Cleaning of a document collection in stages, each written as Parquet and read again."""
+"""Cleaning of a document collection in stages, each written as Parquet and read again.
+
+Every stage takes all that the one before kept. Quality rules drop what they reject; exact dedup keeps one
+row per normalised text; SimHash near-dedup keeps the row with the smallest id of each linked group; private
+terms rewrites texts; best-fit packing lays the rest out in sequences.
+
+Defined results: a null text counts as empty and is rejected by the quality rules; rows that repeat an id
+and text leave one row behind exact dedup; an empty table leaves every stage empty; columns beyond those of
+the documents table go along unchanged until the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sheafmill.llm import exact_dedup, packing, private_terms, quality_rules, simhash
+from sheafmill.llm.common import only
 from sheafmill.session import materialise
 
-STAGES = []
-#: Scoring by a trained model has no SQL form.
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.keep_good(docs, quality_rules.fit(docs, labels))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = materialise(exact_dedup.exact_dedup(docs).filter("kept").select("doc_id"), "exact-kept")
+    repeated = materialise(kept.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    rows = only(docs, kept)
+    if repeated.isEmpty():
+        return rows
+    again = repeated.select(F.col("doc_id").alias("_again"))
+    once = rows.join(again, rows["doc_id"].eqNullSafe(again["_again"]), "left_anti")
+    return once.unionByName(only(rows, repeated).dropDuplicates(["doc_id"]))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(docs)
+    return only(docs, groups.filter("doc_id <=> component_id").select("doc_id").distinct())
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return private_terms.sanitise(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("exact_dedup", exact),
+    ("simhash_near_dedup", near),
+    ("private_terms", private),
+    ("best_fit_packing", pack),
+]
+#: Scoring by a trained model has no SQL form; a test compares run() with a plain version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table; rows as from packing.pack_documents()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")

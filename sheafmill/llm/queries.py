@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheafmill.catalog.base import Query, table
 from sheafmill.llm import (
-    byte_bpe, exact_dedup, html_text, packing, quality_rules, sharding, simhash, suffix_dedup, token_counts,
+    byte_bpe, exact_dedup, html_text, packing, private_terms, quality_rules, sharding, simhash, suffix_dedup,
+    token_counts,
 )
 
 QUERIES: dict[str, Query] = {}
@@ -69,6 +70,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_private_terms")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_terms.report(table(spark, sf_dir, "documents"))
+
+
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
