@@ -274,12 +274,12 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         made = [t if b is None else rewrite(t, b, t2) for t, b, t2 in zip(text, base, terms)]
         return text.__class__(made, dtype=object)
 
-    new = F.when(F.col("_base").isNull(), F.col(text_col)).otherwise(
-        rewritten(F.col(text_col).cast("string"), "_base", "_terms")
+    none = spans["_base"].isNull()
+    new = F.when(none, docs[text_col]).otherwise(
+        rewritten(docs[text_col].cast("string"), spans["_base"], spans["_terms"])
     )
-    out = joined.withColumn(text_col, new)
+    changed = {text_col: new}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_base").isNull(), F.col("n_chars")).otherwise(
-            F.char_length(text_col).cast(docs.schema["n_chars"].dataType)
-        ))
-    return out.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(none, docs["n_chars"]).otherwise(F.char_length(new).cast(kind))
+    return joined.select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
