@@ -104,9 +104,13 @@ def chart_label(c: Column | str) -> Column:
 
 
 def number(c: Column | str) -> Column:
-    """A double, or NULL when the text is no number; NaN counts as missing."""
-    value = strip(col(c).cast("string")).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """A double, or NULL when the text is no number; NaN counts as missing.
+
+    The spelling is tested first: a cast alone would take `1.5f` and `2d` as numbers.
+    """
+    text = strip(col(c).cast("string"))
+    spelled = text.rlike(r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)$")
+    return F.when(spelled, text.try_cast("double"))
 
 
 def status_label(c: Column | str) -> Column:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def local_session(cores: int | str = "*", app: str = "sheafmill") -> SparkSession:
     """A session for tests and benchmarks on one machine; a cluster brings its own."""
@@ -27,12 +32,30 @@ def local_session(cores: int | str = "*", app: str = "sheafmill") -> SparkSessio
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the checkpoint folder; a temporary one only where none is set."""
+    """A fresh path below the folder in spark.checkpoint.dir.
+
+    Where none is set, a session on one machine gets a temporary folder that goes when the process
+    ends; on a cluster each executor would write to its own disk, so that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="sheafmill-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this process wrote to the checkpoint folder; results that read it must be written before."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

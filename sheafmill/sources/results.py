@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill import fixed
 from sheafmill.operators.experiments import normalised
 from sheafmill.functions import text as tx
 from sheafmill.operators.ordered import with_rank
+from sheafmill.session import path_exists
 
 STATUSES = ("keep", "discard", "crash", "keep-sa")
 
@@ -17,15 +18,16 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Log rows in line order; the run is the folder `run_tag=...` or else the file.
 
     A log is cut at tabs, not parsed as quoted text: descriptions may hold quotes and commas.
-    Files of one run follow each other by time of writing, then by name.
+    Files of one run follow each other by the number of the append that wrote them, then by name.
     """
     text = spark.read.text(path)
     run = F.col("run_tag").cast("string") if "run_tag" in text.columns else F.col("_metadata.file_path")
+    append = F.col("append").cast("long") if "append" in text.columns else F.lit(0)
     lines = text.select(
         "value",
         run.alias("run_tag"),
         F.struct(
-            "_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start",
+            append.alias("append"), "_metadata.file_path", "_metadata.file_block_start",
             F.monotonically_increasing_id().alias("line"),
         ).alias("_at"),
     )
@@ -44,19 +46,34 @@ def invalid_rows(results: DataFrame) -> DataFrame:
     return results.where(bad_text | ~F.coalesce(known, F.lit(False)))
 
 
-def write_results(results: DataFrame, path: str, mode: str = "append") -> None:
-    """Append log rows as text, values with six decimals and memory with one."""
+def write_results(results: DataFrame, path: str, mode: str = "append", files: int | None = None) -> None:
+    """Append log rows as text, values with six decimals and memory with one.
+
+    A crash without a score is written as 0; a score missing from any other row stays missing.
+    Every append is a folder with the next number, so that lines keep their order whichever file
+    is finished first.
+    """
     if not invalid_rows(results).isEmpty():
         raise ValueError("log rows with an unknown status, or with tabs or line ends in a text")
+    crash = tx.strip(F.lower("status")) == "crash"
+
+    def shown(form: str, column: str) -> Column:
+        value = F.when(crash, F.coalesce(column, F.lit(0.0))).otherwise(F.col(column))
+        return F.when(value.isNull(), "").otherwise(F.format_string(form, value))
+
     line = F.concat_ws(
         "\t",
         "commit",
-        F.format_string("%.6f", F.coalesce("val_bpb", F.lit(0.0))),
-        F.format_string("%.1f", F.coalesce("memory_gb", F.lit(0.0))),
+        shown("%.6f", "val_bpb"),
+        shown("%.1f", "memory_gb"),
         F.lower(tx.strip("status")),
         F.coalesce("description", F.lit("")),
     )
     # Ranges of (run, line): a long run becomes several files whose names follow its order.
     rows = results.select("run_tag", "seq", line.alias("value"))
-    rows = rows.repartitionByRange("run_tag", "seq").sortWithinPartitions("run_tag", "seq")
-    rows.select("run_tag", "value").write.mode(mode).partitionBy("run_tag").text(path)
+    rows = rows.repartitionByRange(*([files] if files else []), "run_tag", "seq").sortWithinPartitions("run_tag", "seq")
+    spark, number = results.sparkSession, 0
+    if mode == "append" and path_exists(spark, path):
+        number = (spark.read.text(path).agg(F.max("append")).first()[0] or 0) + 1
+    rows = rows.select(F.lit(number).alias("append"), "run_tag", "value")
+    rows.write.mode(mode).partitionBy("append", "run_tag").text(path)

@@ -17,25 +17,31 @@ _NUMBERS = {
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of log files with their run; a carriage return ends a line as a line feed does."""
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("run_tag"), "value")
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("run_tag"), "value",
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("line"),
+    )
 
 
 def parse_summaries(lines: DataFrame) -> DataFrame:
     """One row per run from its `key: value` lines; a run that printed none has only NULLs.
 
-    Progress lines outnumber summary lines by far and are dropped before anything is grouped.
+    `lines` has run_tag, value and line, which orders the lines of a run: of a key that is printed
+    again the last value counts. Runs and values come from one pass and one grouping.
     """
     pattern = rf"^({'|'.join(fixed.SUMMARY_KEYS)}):\s+(.*)$"
-    pairs = lines.where(F.col("value").rlike(pattern)).select(
-        "run_tag",
+    cut = lines.select(
+        "run_tag", "line",
         F.regexp_extract("value", pattern, 1).alias("key"),
         tx.strip(F.regexp_extract("value", pattern, 2)).alias("text"),
     )
-    wide = pairs.groupBy("run_tag").pivot("key", list(fixed.SUMMARY_KEYS)).agg(F.max("text"))
+    last = [
+        F.max(F.when(F.col("key") == k, F.struct("line", "text")))["text"].alias(k) for k in fixed.SUMMARY_KEYS
+    ]
     typed = [
         F.col(k).try_cast(_NUMBERS[k]).alias(k) if k in _NUMBERS else F.col(k) for k in fixed.SUMMARY_KEYS
     ]
-    return lines.select("run_tag").distinct().join(wide, "run_tag", "left").select("run_tag", *typed)
+    return cut.groupBy("run_tag").agg(*last).select("run_tag", *typed)
 
 
 def parse_steps(lines: DataFrame) -> DataFrame:
@@ -44,12 +50,12 @@ def parse_steps(lines: DataFrame) -> DataFrame:
     A line is matched once and cut once; its fields then have fixed names in front of them.
     """
     found = lines.where(F.col("value").rlike(fixed.STEP_PATTERN))
-    start = F.locate("step ", F.col("value"))
+    start = F.regexp_instr("value", F.lit(fixed.STEP_PATTERN))
     fields = F.split(F.substring("value", start, F.length("value")), " \\| ")
     cut = tx.once(found, {"_f": fields})
 
     def field(i: int, name: str, unit: str = "") -> Column:
-        return F.substring_index(F.substring(F.col("_f")[i], len(name) + 1, 40), unit or " ", 1)
+        return F.substring_index(F.substr(F.col("_f")[i], F.lit(len(name) + 1)), unit or " ", 1)
 
     return cut.select(
         "run_tag",

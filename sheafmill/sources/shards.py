@@ -12,8 +12,8 @@ SHARD_SCHEMA = "text string, shuffle_key string, pos long, split string, shard i
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """Both splits are there."""
-    return all(path_exists(spark, f"{path}/split={split}") for split in ("train", "val"))
+    """The write came to its end and both splits are there."""
+    return all(path_exists(spark, f"{path}/{name}") for name in ("_SUCCESS", "split=train", "split=val"))
 
 
 def write_shards(sharded: DataFrame, path: str, mode: str = "skip") -> bool:
@@ -51,9 +51,9 @@ def list_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_documents(
-    spark: SparkSession, path: str, max_rows: int | None = fixed.LOAD_ROWS, shard_rows: int = fixed.SHARD_ROWS
+    spark: SparkSession, path: str, max_rows: int | None = None, shard_rows: int = fixed.SHARD_ROWS
 ) -> DataFrame:
-    """The first `max_rows` training documents in shard order.
+    """Training documents; with `max_rows` the first ones in shard order.
 
     Positions are dense, so the cap is a filter; shards behind it are pruned.
     """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from sheafmill.operators import corpus
 from sheafmill.session import path_exists
 from sheafmill.sources.submissions import parse_submissions
 
-SINK_SCHEMA = "text string, text_hash string, batch long"
+SINK_SCHEMA = "text string, text_hash string, stream string, batch long"
 
 
 def stream_submissions(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
@@ -22,22 +23,35 @@ def stream_submissions(spark: SparkSession, folder: str, files_per_batch: int =
     return parse_submissions(lines)
 
 
-def append_new_documents(sink: str) -> Callable[[DataFrame, int], None]:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name that lives in the checkpoint: a restart keeps it, a fresh checkpoint has a new one."""
+    path = f"{checkpoint}/stream-id"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        made = spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
+        made.coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first()["value"]
+
+
+def append_new_documents(sink: str, stream: str) -> Callable[[DataFrame, int], None]:
     """A batch writer that adds the texts the sink does not hold yet.
 
     No event time bounds how late a copy may come, so a stateful de-duplication would keep every
     hash for ever in executor memory. The sink itself is the memory instead: only its hash column
-    is read. A batch owns one partition of the sink and overwrites it, so a repeated batch after
-    a failure leaves the same rows.
+    is read. A batch of a stream owns one partition of the sink and overwrites it, so a repeated
+    batch after a failure leaves the same rows, and another stream's batch of that number is
+    another partition.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.select("text").distinct().withColumn("text_hash", F.sha2("text", 256))
         if path_exists(spark, sink):
-            known = spark.read.schema(SINK_SCHEMA).parquet(sink).where(F.col("batch") != batch_id)
+            own = (F.col("stream") == stream) & (F.col("batch") == batch_id)
+            known = spark.read.schema(SINK_SCHEMA).parquet(sink).where(~own)
             fresh = fresh.join(known.select("text_hash"), "text_hash", "left_anti")
-        fresh.select("text", "text_hash").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        fresh.select("text", "text_hash").write.mode("overwrite").parquet(
+            f"{sink}/stream={stream}/batch={batch_id}"
+        )
 
     return write
 
@@ -50,7 +64,7 @@ def ingest_stream(
     docs = corpus.within_length(corpus.combine_json(posts, max_chars), min_chars, max_chars)
     return (
         docs.select("text").writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(append_new_documents(sink))
+        .foreachBatch(append_new_documents(sink, stream_id(posts.sparkSession, checkpoint)))
     )
 
 

@@ -73,9 +73,18 @@ def test_stream_adds_each_text_once_and_repeats_safely(spark, tmp_path):
     assert run() == second
     # The last batch once more, as after a failure between the write and its commit.
     again = spark.createDataFrame([(t,) for t in second if "one" not in t], "text string")
-    ingest.append_new_documents(sink)(again, 1)
+    ingest.append_new_documents(sink, ingest.stream_id(spark, offsets))(again, 1)
     assert sorted(r.text for r in ingest.read_sink(spark, sink).collect()) == second
 
+    # Another stream, or a fresh checkpoint, begins at batch 0 again and takes nothing away.
+    other = tmp_path / "other"
+    other.mkdir()
+    dump(other, "c.zst", ["four", "one"])
+    stream = ingest.stream_submissions(spark, str(other))
+    ingest.ingest_stream(stream, sink, str(tmp_path / "more")).trigger(availableNow=True).start().awaitTermination()
+    third = sorted(r.text for r in ingest.read_sink(spark, sink).collect())
+    assert len(third) == 4 and set(second) < set(third)
+
 
 def test_live_progress_follows_the_log(spark, tmp_path):
     folder, table = tmp_path / "log", str(tmp_path / "live")

@@ -207,6 +207,35 @@ def test_bad_log_rows_are_refused(spark, tmp_path):
         results.write_results(log, str(tmp_path / "log"))
 
 
+def test_log_keeps_order_and_gaps(spark, tmp_path):
+    """Several files per run and append, whatever order they are finished in; missing scores stay missing."""
+    schema = "run_tag string, seq long, commit string, val_bpb double, memory_gb double, status string, description string"
+    rows = [(f"r{k % 2}", k, f"c{k}", None if k % 5 == 0 else k / 100, None, "crash" if k % 7 == 0 else "keep", None) for k in range(400)]
+    log, path = spark.createDataFrame(rows, schema), str(tmp_path / "log")
+    results.write_results(log.where("seq < 200"), path, files=8)
+    results.write_results(log.where("seq >= 200"), path, files=8)
+    back = {(r.run_tag, r.seq): r for r in results.read_results(spark, path).collect()}
+    assert len(back) == 400
+    for k, (run, seq, commit, value, *_, status, _) in enumerate(rows):
+        r = back[run, seq // 2]
+        assert r.commit == commit and r.val_bpb == (0.0 if value is None and status == "crash" else value)
+
+
+def test_half_written_corpus_is_not_complete(spark, tmp_path):
+    for split in ("train", "val"):
+        (tmp_path / f"split={split}").mkdir()
+    assert not shards.is_complete(spark, str(tmp_path))
+
+
+def test_last_value_counts_and_steps_match(spark):
+    lines = [("a", 0, "val_bpb: 0.99"), ("a", 1, "val_bpb: 0.98"), ("b", 0, "nothing"),
+             ("a", 2, "resumed at step 7 " + STEPS.strip().split("\r")[0])]
+    df = spark.createDataFrame(lines, "run_tag string, line long, value string")
+    found = {r.run_tag: r.val_bpb for r in runlogs.parse_summaries(df).collect()}
+    assert found == {"a": 0.98, "b": None}
+    assert [r.step for r in runlogs.parse_steps(df).collect()] == [0]
+
+
 SUMMARY = """---
 val_bpb:          0.997900
 training_seconds: 300.1
