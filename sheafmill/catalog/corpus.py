@@ -71,7 +71,8 @@ def corpus_profile_by_source(spark: SparkSession, d: str) -> DataFrame:
     digests = docs.select(
         F.sha2("text", 256).alias("digest"), F.char_length("text").alias("len"), "doc_id", "subreddit"
     )
-    firsts = digests.groupBy("digest", "len").agg(F.min_by("subreddit", "doc_id").alias("subreddit"))
+    places = digests.groupBy("digest", "len").agg(F.min("doc_id").alias("doc_id"))
+    firsts = digests.join(places.select("digest", "doc_id"), ["digest", "doc_id"], "left_semi")
     by_source = profile.length_profile(firsts, F.col("len"), ["subreddit"])
     return rounded(by_source, *_PROFILE_FLOATS, places=4)
 
@@ -206,12 +207,15 @@ def sample_per_group(spark: SparkSession, d: str) -> DataFrame:
     return sampled.select("doc_id", "source", "sample_no")
 
 
-@query(
-    "sample_display",
-    f"""WITH {FIELDS_SQL},
+_PLAIN_SQL = f"""{FIELDS_SQL},
     docs AS (SELECT doc_id, subreddit, CASE WHEN body IN ('[removed]', '[deleted]') THEN title
                                  WHEN title = '' THEN body WHEN body = '' THEN title
-                                 ELSE title || chr(10) || body END AS text FROM fields)
+                                 ELSE title || chr(10) || body END AS text FROM fields)"""
+
+
+@query(
+    "sample_display",
+    f"""WITH {_PLAIN_SQL}
     SELECT doc_id, length(text)::BIGINT AS n_chars,
            CASE WHEN length(text) > 800 THEN left(text, 800) || '...[truncated]' ELSE text END AS shown
     FROM docs WHERE subreddit = 'src7' ORDER BY md5('42:' || doc_id), doc_id LIMIT 10""",
@@ -228,23 +232,23 @@ SHORT = 300
 
 @query(
     "short_posts",
-    f"""WITH {JSON_SQL} SELECT subreddit, count(*) AS n,
+    f"""WITH {_PLAIN_SQL} SELECT subreddit, count(*) AS n,
     count(*) FILTER (WHERE length(text) < {SHORT}) AS n_short,
     round(avg((length(text) < {SHORT})::INT), 6) AS short_share FROM docs GROUP BY subreddit""",
 )
 def short_posts(spark: SparkSession, d: str) -> DataFrame:
-    docs = corpus.combine_json(posts(spark, d))
+    docs = corpus.combine_plain(posts(spark, d))
     return rounded(profile.short_share(docs, ["subreddit"], SHORT), "short_share")
 
 
 @query(
     "short_samples",
-    f"""WITH {JSON_SQL} SELECT doc_id, subreddit, sample_no, to_json(text)::VARCHAR AS shown FROM (
+    f"""WITH {_PLAIN_SQL} SELECT doc_id, subreddit, sample_no, to_json(text)::VARCHAR AS shown FROM (
       SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY md5('42:' || doc_id), doc_id) AS sample_no
       FROM docs WHERE length(text) < {SHORT}) WHERE sample_no <= 5""",
 )
 def short_samples(spark: SparkSession, d: str) -> DataFrame:
-    short = profile.short_documents(corpus.combine_json(posts(spark, d)), SHORT)
+    short = profile.short_documents(corpus.combine_plain(posts(spark, d)), SHORT)
     return profile.sample_per_group(short, "subreddit", "doc_id", 5).select(
         "doc_id", "subreddit", "sample_no", tx.json_string("text").alias("shown")
     )
@@ -312,11 +316,12 @@ def char_budget(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "document_batches",
     f"""WITH {_PLACED_SQL} SELECT split, epoch, batch_no, count(*) AS n FROM (
-      SELECT split, pos // 128 AS batch_no FROM sharded WHERE split = 'train'),
+      SELECT split, (shard - 1) * {-(-SHARD_ROWS // 128)} + (pos - (shard - 1) * {SHARD_ROWS}) // 128 AS batch_no
+      FROM sharded WHERE split = 'train'),
       (SELECT unnest([1, 2, 3])::INT AS epoch) GROUP BY ALL""",
 )
 def document_batches(spark: SparkSession, d: str) -> DataFrame:
     from sheafmill.operators.sequence import document_batches as batches
 
-    batched = batches(_sharded(spark, d).where(F.col("split") == "train"), epochs=3)
+    batched = batches(_sharded(spark, d).where(F.col("split") == "train"), epochs=3, shard_rows=SHARD_ROWS)
     return batched.groupBy("split", "epoch", "batch_no").agg(F.count(F.lit(1)).alias("n"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
 
+#: Symbols of a piece from which on single merges go through a heap.
+LONG = 48
 NO_RANK = np.iinfo(np.int32).max
 _WIDTH = np.int64(1 << 32)
 
@@ -26,12 +29,43 @@ class PairTable:
         order = np.argsort(codes, kind="stable")
         return cls(codes[order], table[order, 2].astype(np.int32), table[order, 3].astype(np.int32))
 
+    def as_dict(self) -> dict[int, tuple[int, int]]:
+        return dict(zip(self.codes.tolist(), zip(self.ranks.tolist(), self.results.tolist())))
+
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         wanted = left.astype(np.int64) * _WIDTH + right
         at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
         return at, self.codes[at] == wanted
 
 
+def merge_long(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
+    """One merge after the other, earliest rank and then leftmost first: a heap over linked symbols."""
+    n = len(symbols)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [
+        (found[0], i, symbols[i], symbols[i + 1])
+        for i in range(n - 1)
+        if (found := pairs.get(symbols[i] << 32 | symbols[i + 1]))
+    ]
+    heapq.heapify(heap)
+    gone = bytearray(n)
+    while heap:
+        _, i, left, right = heapq.heappop(heap)
+        j = after[i]
+        if gone[i] or j >= n or symbols[i] != left or symbols[j] != right:
+            continue
+        symbols[i] = pairs[left << 32 | right][1]
+        gone[j], after[i] = 1, after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for at in (before[i], i):
+            if at >= 0 and after[at] < n:
+                found = pairs.get(symbols[at] << 32 | symbols[after[at]])
+                if found:
+                    heapq.heappush(heap, (found[0], at, symbols[at], symbols[after[at]]))
+    return [s for s, g in zip(symbols, gone) if not g]
+
+
 def merge_pieces(
     symbols: np.ndarray, piece: np.ndarray, table: PairTable, one_by_one: bool
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -39,9 +73,20 @@ def merge_pieces(
 
     `symbols` are the symbols of all pieces in a row, `piece` tells which piece each belongs to.
     All pieces advance together; finished ones drop out. `one_by_one` merges a single pair per
-    piece and step, which matters when a merged symbol can be part of an earlier-ranked pair.
+    piece and step, which matters when a merged symbol can be part of an earlier-ranked pair; that
+    would take as many passes as a piece has symbols, so pieces above LONG go through a heap.
     """
     done_symbols, done_piece = [], []
+    if one_by_one and len(symbols):
+        starts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+        sizes = np.diff(np.append(starts, len(piece)))
+        pairs = table.as_dict() if (sizes > LONG).any() else {}
+        for start, size in zip(starts[sizes > LONG], sizes[sizes > LONG]):
+            merged = merge_long(symbols[start : start + size].tolist(), pairs)
+            done_symbols.append(np.array(merged, symbols.dtype))
+            done_piece.append(np.full(len(merged), piece[start]))
+        short = np.repeat(sizes <= LONG, sizes)
+        symbols, piece = symbols[short], piece[short]
     while len(symbols) and len(table.codes):
         at, found = table.look_up(symbols[:-1], symbols[1:])
         found &= piece[:-1] == piece[1:]

@@ -59,20 +59,20 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 def first_posts(posts: DataFrame, order: list[str], exact: bool = True) -> DataFrame:
     """The first post of every (title, body) in the given order, with all its columns.
 
-    `exact=False` compares the concatenated key, under which different posts can collide. A
-    `min_by` aggregate, not a window: a post with billions of copies leaves each map task as one row.
+    `exact=False` compares the concatenated key, under which different posts can collide. Posts are
+    grouped by digest with their place in the order, so that no text is in the aggregate or in its
+    shuffle; the winners then fetch their row by place. `order` must name each row uniquely.
     """
     filled = posts.withColumns({c: tx.text_or_empty(c) for c in ("title", "selftext")})
-    if exact:
-        keys = ["title", "selftext"]
-        rest = [c for c in posts.columns if c not in keys]
-        best = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-        return filled.groupBy(*keys).agg(best).select(
-            *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in posts.columns]
-        )
-    keyed = filled.withColumn("_key", tx.joined_key("title", "selftext"))
-    best = F.min_by(F.struct(*posts.columns), F.struct(*order)).alias("_row")
-    return keyed.groupBy("_key").agg(best).select("_row.*")
+    parts = ("title", "selftext") if exact else (tx.joined_key("title", "selftext"),)
+    # lengths in front keep ("a", "bc") and ("ab", "c") apart
+    spelled = F.concat_ws("|", *[F.char_length(p) for p in parts], *parts)
+    keyed = filled.withColumn("_digest", F.sha2(spelled, 256))
+    if len(order) == 1:  # one fixed-width value: a hash aggregate
+        first = keyed.groupBy("_digest").agg(F.min(order[0]).alias(order[0]))
+    else:
+        first = keyed.groupBy("_digest").agg(F.min(F.struct(*order)).alias("_at")).select("_digest", "_at.*")
+    return keyed.join(first, ["_digest", *order], "left_semi").select(*posts.columns)
 
 
 def clean(

@@ -57,10 +57,6 @@ def survived(results: DataFrame) -> DataFrame:
     return results.where(~is_status("CRASH"))
 
 
-def _chart_baseline(results: DataFrame) -> DataFrame:
-    return survived(results).groupBy(RUN).agg(F.min_by("val_bpb", "seq").alias("chart_baseline"))
-
-
 def progress(results: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Chart rows: surviving experiments renumbered from 0, with the running best of kept ones."""
     kept_value = F.when(is_status("KEEP"), F.col("val_bpb"))
@@ -68,7 +64,10 @@ def progress(results: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
         survived(results),
         [RUN],
         "seq",
-        {"idx": ("count", F.lit(1)), "running_best": ("min", kept_value)},
+        {
+            "idx": ("count", F.lit(1)), "running_best": ("min", kept_value),
+            "chart_baseline": ("first", F.struct("val_bpb")),
+        },
         chunk_rows=chunk_rows,
     )
     # The best so far shows only where a kept value was added.
@@ -77,20 +76,24 @@ def progress(results: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
             "idx": F.col("idx") - 1,
             "running_best": F.when(kept_value.isNotNull(), F.col("running_best")),
             "label": F.when(is_status("KEEP"), tx.chart_label("description")),
+            "chart_baseline": F.col("chart_baseline.val_bpb"),
         }
     )
-    return charted.join(_chart_baseline(results), RUN).withColumn(
+    labelled = charted.select(*[c for c in charted.columns if c != "chart_baseline"], "chart_baseline")
+    return labelled.withColumn(
         "is_below", F.coalesce(F.col("val_bpb") <= F.col("chart_baseline") + fixed.BASELINE_MARGIN, F.lit(False))
     )
 
 
-def below_baseline(results: DataFrame) -> DataFrame:
-    """Surviving experiments at or below the first surviving one, with a small margin."""
-    return (
-        survived(results)
-        .join(_chart_baseline(results), RUN)
-        .where(F.col("val_bpb") <= F.col("chart_baseline") + fixed.BASELINE_MARGIN)
-    )
+def below_baseline(results: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Surviving experiments at or below the first surviving one, with a small margin.
+
+    The first one rides along in sequence order, so a run of any size stays spread over chunks.
+    """
+    first = {"chart_baseline": ("first", F.struct("val_bpb"))}
+    placed = running(survived(results), [RUN], "seq", first, chunk_rows=chunk_rows)
+    known = placed.withColumn("chart_baseline", F.col("chart_baseline.val_bpb"))
+    return known.where(F.col("val_bpb") <= F.col("chart_baseline") + fixed.BASELINE_MARGIN)
 
 
 def chart_axis(results: DataFrame) -> DataFrame:
@@ -213,8 +216,15 @@ def smoothed_loss(steps: DataFrame, beta: float = fixed.EMA_BETA) -> DataFrame:
 
     Inside a block of steps the average is a prefix sum of x_i * beta**-i scaled back. A block
     inherits the averages its predecessors ended with, weighted by beta**(rows between); weights
-    beyond `horizon` rows are exactly zero in double arithmetic, so nothing is left out.
+    beyond `horizon` rows are exactly zero in double arithmetic, so nothing is left out. A loss that is
+    no finite number never leaves the average again, as in the recursion.
     """
+    broken = F.isnan("loss") | (F.abs("loss") == float("inf"))
+    marked = running(steps, [RUN], "step", {"_broken": ("sum", F.when(broken, F.col("loss")))})
+    columns = steps.columns
+    steps = marked.withColumns(
+        {"_loss": F.col("loss"), "loss": F.when(broken, F.lit(0.0)).otherwise(F.col("loss"))}
+    )
     per_digit = -1 / math.log10(beta)
     block_rows = max(1, min(2000, int(100 * per_digit)))
     horizon = int(650 * per_digit) + block_rows
@@ -243,14 +253,17 @@ def smoothed_loss(steps: DataFrame, beta: float = fixed.EMA_BETA) -> DataFrame:
             lambda acc, p: acc + p["_end"] * F.pow(F.lit(beta), F.col("_start") - p["_stop"]),
         ).alias("_carry"),
     )
-    smooth = F.col("_own") + F.col("_carry") * F.pow(F.lit(beta), F.col("_i") + 1)
+    smooth = F.coalesce(
+        F.col("_broken"), F.col("_own") + F.col("_carry") * F.pow(F.lit(beta), F.col("_i") + 1)
+    )
     return (
         inside.join(ends, [RUN, "_block"])
         .withColumn("smooth_loss", smooth)
         .withColumn(
             "debiased_loss", F.col("smooth_loss") / (1 - F.pow(F.lit(beta), F.col("step") + 1))
         )
-        .select(*steps.columns, "smooth_loss", "debiased_loss")
+        .withColumn("loss", F.col("_loss"))
+        .select(*columns, "smooth_loss", "debiased_loss")
     )
 
 

@@ -93,8 +93,9 @@ def running(
 ) -> DataFrame:
     """Running aggregates per key in the order of an integer column that is unique per key.
 
-    `specs` maps output names to (kind, column), kind one of sum, min, max, count, last; NULLs
-    are skipped, and `last` is the latest non-NULL value. With `inclusive=False` the current row
+    `specs` maps output names to (kind, column), kind one of sum, min, max, count, last, first; NULLs
+    are skipped, `last` is the latest non-NULL value and `first` the earliest (wrap a value in a
+    struct to keep its NULLs). With `inclusive=False` the current row
     is left out. A key of any size is spread over chunks; what earlier chunks contribute is one
     summary row per chunk.
     """
@@ -117,6 +118,13 @@ def running(
             )
             carry_cols.append(F.last(whole, ignorenulls=True).over(earlier).alias(carry))
             combined = F.coalesce(F.col(here), F.col(carry))
+        elif kind == "first":
+            local_cols.append(F.first(value, ignorenulls=True).over(local).alias(here))
+            chunk_cols.append(
+                F.min(F.when(value.isNotNull(), F.struct(F.col(order), value.alias("v"))))["v"].alias(whole)
+            )
+            carry_cols.append(F.first(whole, ignorenulls=True).over(earlier).alias(carry))
+            combined = F.coalesce(F.col(carry), F.col(here))
         else:
             local_cols.append(_AGGREGATES[kind](value).over(local).alias(here))
             chunk_cols.append(_AGGREGATES[kind](value).alias(whole))

@@ -32,16 +32,14 @@ def length_profile(df: DataFrame, length: Column, by: Sequence[str] = ()) -> Dat
     """
     by = list(by)
     histogram = df.groupBy(*by, length.alias("len")).agg(F.count(F.lit(1)).alias("n"))
-    points = [
-        F.percentile("len", p, F.col("n")).alias(name) for name, p in _PERCENTILES.items()
-    ]
+    points = [F.col("_points")[i].alias(name) for i, name in enumerate(_PERCENTILES)]
     return histogram.groupBy(*by).agg(
         F.sum("n").alias("n"),
         F.min("len").cast("long").alias("min_len"),
         (F.sum(F.col("len") * F.col("n")) / F.sum("n")).alias("mean_len"),
-        *points,
+        F.percentile("len", list(_PERCENTILES.values()), F.col("n")).alias("_points"),
         F.max("len").cast("long").alias("max_len"),
-    )
+    ).select(*by, "n", "min_len", "mean_len", *points, "max_len")
 
 
 def approximate_profile(df: DataFrame, length: Column, by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:

@@ -10,13 +10,21 @@ from pyspark.sql import types as T
 
 from sheafmill import fixed
 from sheafmill.functions import text as tx
-from sheafmill.operators.fold import State, fold_rows
+from sheafmill.operators.fold import State, Summary, fold_by_summary
 from sheafmill.operators.ordered import CHUNK_ROWS
 
 
-def document_batches(docs: DataFrame, batch: int = fixed.DOC_BATCH, epochs: int = 1) -> DataFrame:
-    """Batches of neighbouring documents, once per epoch; `pos` numbers documents from 0."""
-    batched = docs.withColumn("batch_no", F.floor(F.col("pos") / batch).cast("long"))
+def document_batches(
+    docs: DataFrame, batch: int = fixed.DOC_BATCH, epochs: int = 1, shard_rows: int = fixed.SHARD_ROWS
+) -> DataFrame:
+    """Batches of neighbouring documents of one shard, once per epoch.
+
+    `pos` numbers documents from 0 over all shards, `shard` numbers shards from 1; the last batch of a
+    shard may be short, and the next shard begins a new one.
+    """
+    before = (F.col("shard") - 1).cast("long")
+    inside = F.floor((F.col("pos") - before * shard_rows) / batch).cast("long")
+    batched = docs.withColumn("batch_no", before * -(-shard_rows // batch) + inside)
     return batched.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
 
 
@@ -74,9 +82,6 @@ def bits_per_byte(losses: DataFrame, vocab: DataFrame) -> DataFrame:
     )
 
 
-_OPEN = T.StructType([T.StructField("room", T.LongType()), T.StructField("held", T.LongType())])
-
-
 def packed_rows(
     lengths: DataFrame,
     max_len: int = fixed.PACK_LEN,
@@ -87,7 +92,8 @@ def packed_rows(
     """Next-fit packing: one output row per context window with the number of documents in it.
 
     A window takes documents in order until one does not fit. A document longer than the window
-    sits alone. The fold carries the room and the documents of the window still open.
+    sits alone. What a chunk does depends on the room it starts with alone, so each chunk is
+    summarised once for every room, and the summaries are composed.
     """
     out = T.StructType([T.StructField("documents", T.LongType())])
 
@@ -110,8 +116,27 @@ def packed_rows(
             closed.append(held)
         return pd.DataFrame({"documents": np.array(closed, dtype=np.int64)}), {"room": room, "held": held}
 
+    def summary(rows: pd.DataFrame) -> Summary:
+        sizes = rows[length].to_numpy(np.int64)
+        n, reach = len(sizes), np.concatenate([[0], np.cumsum(sizes)])
+        # the document that closes the window which document i opens, then the last one to open a window
+        closes = np.searchsorted(reach[1:], reach[:-1] + max_len, side="right")
+        closes = np.maximum(closes, np.arange(n) + 1)
+        opens_last = list(range(n))
+        for i in range(n - 1, -1, -1):
+            if closes[i] < n:
+                opens_last[i] = opens_last[closes[i]]
+        first = np.append(0, np.searchsorted(reach[1:], np.arange(max_len + 1), side="right"))  # by room, from -1
+        stays = first == n
+        last = np.array(opens_last)[np.minimum(first, n - 1)]
+        room = np.where(stays, np.arange(-1, max_len + 1) - reach[n], max_len - (reach[n] - reach[last]))
+        return Summary(np.maximum(room, -1) + 1, np.where(stays, n, n - last), ~stays)
+
     picked = lengths.select(F.col(order).cast("long").alias(order), F.col(length).cast("long").alias(length))
-    return fold_rows(picked, [], order, fold, {"room": -1, "held": 0}, _OPEN, out, chunk_rows)
+    def output(rows: pd.DataFrame, state: int, held: int, is_last: bool) -> pd.DataFrame:
+        return fold(rows, {"room": state - 1, "held": held}, is_last)[0]
+
+    return fold_by_summary(picked, order, summary, output, out, chunk_rows)
 
 
 def packing_distribution(packed: DataFrame) -> DataFrame:

@@ -148,13 +148,17 @@ def pair_counts(docs: DataFrame) -> DataFrame:
 
 def training_corpus(
     sharded: DataFrame,
-    max_chars: int = fixed.TOKENIZER_MAX_CHARS,
-    doc_cap: int = fixed.TOKENIZER_DOC_CAP,
+    max_chars: int | None = None,
+    doc_cap: int | None = None,
 ) -> DataFrame:
-    """Training documents in order, each cut to `doc_cap`, until `max_chars` are used up."""
+    """Training documents, all and whole unless limits are asked for.
+
+    With `doc_cap` each is cut to so many characters; with `max_chars` they are taken in order until so
+    many are used up.
+    """
     train = sharded.where(F.col("split") == "train")
-    capped = train.withColumn("text", F.left("text", F.lit(doc_cap)))
-    return budget_prefix(capped, "pos", F.char_length("text"), max_chars)
+    capped = train if doc_cap is None else train.withColumn("text", F.left("text", F.lit(doc_cap)))
+    return capped if max_chars is None else budget_prefix(capped, "pos", F.char_length("text"), max_chars)
 
 
 # --- training ---

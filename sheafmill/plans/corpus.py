@@ -46,7 +46,7 @@ def prepare_corpus(
 
 def prepare_tokenizer(
     spark: SparkSession, corpus_path: str, vocab_path: str, mode: str = "skip",
-    vocab_size: int = fixed.VOCAB_SIZE, max_chars: int = fixed.TOKENIZER_MAX_CHARS,
+    vocab_size: int = fixed.VOCAB_SIZE, max_chars: int | None = None,
 ) -> tk.Vocabulary:
     """Train on the training shards, save, check that texts survive; an existing one is reused."""
     if mode == "skip" and vocab.has_vocab(spark, vocab_path):

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 import tiktoken
@@ -235,3 +236,33 @@ def test_packing_in_chunks_equals_one_pass(spark, chunk_rows):
     assert facts.mean_documents == pytest.approx(len(sizes) / len(want))
     spread = {r.documents: r.windows for r in sequence.packing_distribution(packed).collect()}
     assert spread == Counter(want)
+
+
+def test_long_piece_equals_one_by_one():
+    from sheafmill.operators import bpe
+
+    rng = np.random.default_rng(4)
+    pairs = [(97, 98, 0, 256), (256, 97, 1, 257), (98, 98, 2, 258), (257, 258, 3, 259), (97, 97, 4, 260)]
+    table = bpe.PairTable.of(pairs)
+    for size in (1, 50, 400):
+        text = rng.integers(97, 99, size).astype(np.int32)
+        slow = text.tolist()
+        while True:
+            ranks = [(r, i, out) for i in range(len(slow) - 1) for a, b, r, out in pairs if slow[i : i + 2] == [a, b]]
+            if not ranks:
+                break
+            _, i, out = min(ranks)
+            slow[i : i + 2] = [out]
+        fast, _ = bpe.merge_pieces(text, np.zeros(size, int), table, one_by_one=True)
+        assert fast.tolist() == slow
+    bpe.merge_pieces(np.full(300_000, 97, np.int32), np.zeros(300_000, int), table, one_by_one=True)
+
+
+@pytest.mark.parametrize("chunk_rows, fan", [(1, 3), (7, 2), (1000, 1000)])
+def test_packing_of_equal_lengths_takes_few_jobs(spark, chunk_rows, fan, monkeypatch):
+    from sheafmill.operators import fold
+
+    monkeypatch.setattr(fold, "FAN", fan)
+    table = spark.createDataFrame([(k, 70) for k in range(60)], "pos long, n long")
+    got = sorted(r.documents for r in sequence.packed_rows(table, 200, chunk_rows=chunk_rows).collect())
+    assert got == [2] * 30
