@@ -11,6 +11,9 @@ from sheafmill.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rows of a chunk in the registered queries: few, so that also small tables cross many chunk borders.
+CHUNK_ROWS = 1_000
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.catalog.base import (
+    CHUNK_ROWS,
     CLEAN_SQL,
     DIGEST_SQL,
     FIELDS_SQL,
@@ -310,7 +311,7 @@ def char_budget(spark: SparkSession, d: str) -> DataFrame:
         tx.shuffle_key(F.col("doc_id").cast("string")).alias("k"),
     )
     placed = with_position(capped, "k")
-    return digested(budget_prefix(placed, "pos", F.char_length("text"), budget), "doc_id")
+    return digested(budget_prefix(placed, "pos", F.char_length("text"), budget, CHUNK_ROWS // 10), "doc_id")
 
 
 @query(

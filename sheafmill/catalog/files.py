@@ -18,11 +18,12 @@ from sheafmill.catalog.base import (
 )
 from sheafmill.catalog.corpus import _PLACED_SQL, SHARD_ROWS, VAL_ROWS
 from sheafmill.operators import corpus, experiments
+from sheafmill.plans import experiments as plans
 from sheafmill.plans.corpus import prepare_corpus
 from sheafmill.session import scratch_path, spread
 from sheafmill.sources import posts as post_source
 from sheafmill.sources import results as result_source
-from sheafmill.sources import runlogs, shards, submissions
+from sheafmill.sources import reports, runlogs, shards, submissions
 from sheafmill.streaming import ingest, progress
 
 
@@ -80,6 +81,19 @@ def shard_files(spark: SparkSession, d: str) -> DataFrame:
     return shards.list_shards(spark, _written_corpus(spark, d))
 
 
+@query("corpus_reset", f"WITH {_PLACED_SQL} SELECT split, shard, count(*) AS n FROM sharded GROUP BY ALL")
+def corpus_reset(spark: SparkSession, d: str) -> DataFrame:
+    """A finished corpus is left alone unless a reset is asked for."""
+    path = scratch_path(spark, "corpus")
+    made = [
+        prepare_corpus(posts(spark, d), path, mode, val_rows=val, shard_rows=SHARD_ROWS)
+        for mode, val in (("skip", VAL_ROWS + 1), ("skip", VAL_ROWS), ("reset", VAL_ROWS))
+    ]
+    if made != [True, False, True]:
+        raise ValueError(f"written: {made}")
+    return shards.list_shards(spark, path)
+
+
 LOAD_ROWS = 250
 
 
@@ -106,6 +120,42 @@ def results_log(spark: SparkSession, d: str) -> DataFrame:
     return result_source.read_results(spark, path)
 
 
+PREVIEW = 10
+
+
+@query(
+    "log_preview",
+    f"""WITH {RESULTS_SQL}, n AS (
+      SELECT run_tag, row_number() OVER (PARTITION BY run_tag ORDER BY seq) - 1 AS seq, status, val_bpb FROM results)
+    SELECT * FROM n WHERE seq < {PREVIEW}""",
+)
+def log_preview(spark: SparkSession, d: str) -> DataFrame:
+    """The head of each log, through the written files."""
+    path = scratch_path(spark, "results")
+    result_source.write_results(raw_results(spark, d), path)
+    return plans.preview(result_source.read_results(spark, path), PREVIEW).select("run_tag", "seq", "status", "val_bpb")
+
+
+@query(
+    "report_files",
+    f"""WITH {RESULTS_SQL} SELECT form, run_tag, status, count(*) AS n
+    FROM results, (SELECT unnest(['json', 'parquet', 'text']) AS form) GROUP BY ALL""",
+)
+def report_files(spark: SparkSession, d: str) -> DataFrame:
+    """One report in every form it can be written in, read back."""
+    report = experiments.outcome_counts(experiments.normalised(raw_results(spark, d)))
+    path, back = scratch_path(spark, "report"), None
+    for form in ("json", "parquet", "text"):
+        reports.write_report(report, f"{path}/{form}", form)
+        reader = spark.read.schema(report.schema)
+        if form == "text":
+            reader = reader.option("header", True).option("sep", "\t")
+        kind = "csv" if form == "text" else form
+        rows = reader.format(kind).load(f"{path}/{form}").select(F.lit(form).alias("form"), "run_tag", "status", "n")
+        back = rows if back is None else back.unionByName(rows)
+    return back
+
+
 @query(
     "run_summaries",
     """SELECT concat('order', o_orderkey) AS run_tag, o_orderkey % 10 = 0 AS is_crash,

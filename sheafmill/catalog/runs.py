@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafmill.catalog.base import RESULTS_SQL, query, raw_results, rounded, table
+from sheafmill.catalog.base import CHUNK_ROWS, RESULTS_SQL, query, raw_results, rounded, table
 from sheafmill.functions import text as tx
 from sheafmill.operators import experiments, replay
 
@@ -57,7 +57,7 @@ valid AS (SELECT *, row_number() OVER w - 1 AS idx, first_value(val_bpb) OVER w
     f"WITH {_CHART_SQL} SELECT run_tag, seq, val_bpb, running_best FROM valid WHERE status = 'KEEP'",
 )
 def running_best(spark: SparkSession, d: str) -> DataFrame:
-    charted = experiments.progress(results(spark, d))
+    charted = experiments.progress(results(spark, d), CHUNK_ROWS)
     return charted.where(experiments.is_status("KEEP")).select("run_tag", "seq", "val_bpb", "running_best")
 
 
@@ -69,7 +69,7 @@ def running_best(spark: SparkSession, d: str) -> DataFrame:
          THEN left(trim(description), 42) || '...' ELSE trim(description) END END AS label FROM valid""",
 )
 def progress_chart(spark: SparkSession, d: str) -> DataFrame:
-    return experiments.progress(results(spark, d)).select(
+    return experiments.progress(results(spark, d), CHUNK_ROWS).select(
         "run_tag", "idx", "seq", "val_bpb", "status", "running_best", "is_below", "label"
     )
 
@@ -79,7 +79,7 @@ def progress_chart(spark: SparkSession, d: str) -> DataFrame:
     f"WITH {_CHART_SQL} SELECT run_tag, seq, val_bpb, status FROM valid WHERE val_bpb <= chart_baseline + 0.0005",
 )
 def below_baseline(spark: SparkSession, d: str) -> DataFrame:
-    return experiments.below_baseline(results(spark, d)).select("run_tag", "seq", "val_bpb", "status")
+    return experiments.below_baseline(results(spark, d), CHUNK_ROWS).select("run_tag", "seq", "val_bpb", "status")
 
 
 @query(
@@ -105,7 +105,7 @@ hits AS (SELECT *, prev_bpb - val_bpb AS delta FROM linked WHERE kept_no > 1)"""
     row_number() OVER (PARTITION BY run_tag ORDER BY delta DESC NULLS LAST, seq) AS rank FROM hits""",
 )
 def top_hits(spark: SparkSession, d: str) -> DataFrame:
-    ranked = experiments.top_hits(results(spark, d))
+    ranked = experiments.top_hits(results(spark, d), CHUNK_ROWS)
     return rounded(ranked, "delta").select("run_tag", "seq", "val_bpb", "delta", "description", "rank")
 
 
@@ -115,7 +115,7 @@ def top_hits(spark: SparkSession, d: str) -> DataFrame:
     FROM hits GROUP BY run_tag""",
 )
 def total_gain(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(experiments.total_gain(results(spark, d)), "total_delta")
+    return rounded(experiments.total_gain(results(spark, d), CHUNK_ROWS), "total_delta")
 
 
 @query(
@@ -123,7 +123,7 @@ def total_gain(spark: SparkSession, d: str) -> DataFrame:
     f"WITH {_HITS_SQL} SELECT run_tag, seq, val_bpb, seq - prev_seq AS effort, description FROM linked",
 )
 def effort_per_improvement(spark: SparkSession, d: str) -> DataFrame:
-    return experiments.effort_per_improvement(results(spark, d)).select(
+    return experiments.effort_per_improvement(results(spark, d), CHUNK_ROWS).select(
         "run_tag", "seq", "val_bpb", "effort", "description"
     )
 
@@ -175,7 +175,7 @@ def population_top5(spark: SparkSession, d: str) -> DataFrame:
            array_to_string(list_transform(seen[1:5], lambda x: x.c), ' ') AS members FROM q""",
 )
 def population_replay(spark: SparkSession, d: str) -> DataFrame:
-    return replay.population_replay(results(spark, d)).select(
+    return replay.population_replay(results(spark, d), chunk_rows=CHUNK_ROWS).select(
         "run_tag", "seq", "val_bpb", "entered", "evicted",
         F.nullif(F.array_join(F.transform("members", lambda m: m["commit"]), " "), F.lit("")).alias("members"),
     )
@@ -271,7 +271,7 @@ def smoothed_loss(spark: SparkSession, d: str) -> DataFrame:
     OVER (PARTITION BY run_tag ORDER BY step), 4) AS train_s FROM steps""",
 )
 def training_time(spark: SparkSession, d: str) -> DataFrame:
-    timed = experiments.training_time(steps(spark, d)).select("run_tag", "step", "train_s")
+    timed = experiments.training_time(steps(spark, d), CHUNK_ROWS).select("run_tag", "step", "train_s")
     return rounded(timed, "train_s", places=4)
 
 

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill import fixed
-from sheafmill.catalog.base import CLEAN_SQL, documents, posts, query, rounded, table
+from sheafmill.catalog.base import CHUNK_ROWS, CLEAN_SQL, documents, posts, query, rounded, table
 from sheafmill.catalog.corpus import _PLACED_SQL, _PROFILE_FLOATS, _PROFILE_SQL, _sharded
 from sheafmill.functions import text as tx
 from sheafmill.operators import corpus, profile, sequence
 from sheafmill.operators import tokenizer as tk
 from sheafmill.operators.ordered import with_position
+from sheafmill.session import scratch_path
 from sheafmill.sources import vocab as vocab_source
 
 MERGES = 64
@@ -127,9 +128,7 @@ def pair_counts(spark: SparkSession, d: str) -> DataFrame:
     return tk.pair_counts(documents(spark, d)).select(F.hex("pair").alias("pair"), "n")
 
 
-@query(
-    "bpe_merges",
-    f"""WITH RECURSIVE words AS MATERIALIZED (
+_WALK_SQL = f"""words AS MATERIALIZED (
       SELECT regexp_replace(hex(encode(piece)), '(..)', '<\\1>', 'g') AS w, count(*)::BIGINT AS n
       FROM (SELECT unnest({pieces_sql("text")}) AS piece FROM documents) GROUP BY piece),
     walk AS (
@@ -141,9 +140,11 @@ def pair_counts(spark: SparkSession, d: str) -> DataFrame:
           SELECT t[i] AS l, t[i + 1] AS r, n FROM (
             SELECT t, n, unnest(range(1, len(t))) AS i FROM (SELECT string_split(w[2:-2], '><') AS t, n FROM walk)))
         GROUP BY l, r ORDER BY sum(n) DESC, l, r LIMIT 1) b
-      WHERE s.step < {MERGES})
-    SELECT DISTINCT (step - 1)::INT AS rank, l AS "left", r AS "right" FROM walk WHERE step > 0""",
-)
+      WHERE s.step < {MERGES}),
+    learned AS (SELECT DISTINCT (step - 1)::INT AS rank, l, r FROM walk WHERE step > 0)"""
+
+
+@query("bpe_merges", f'WITH RECURSIVE {_WALK_SQL} SELECT rank, l AS "left", r AS "right" FROM learned')
 def bpe_merges(spark: SparkSession, d: str) -> DataFrame:
     trained = vocabulary(spark, d)
     return trained.merges_frame(spark).select("rank", F.hex("left").alias("left"), F.hex("right").alias("right"))
@@ -172,7 +173,23 @@ def token_byte_totals(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("token_bytes")
+# Decoded alone, a token counts its whole characters, and three bytes for each malformed part.
+_CHARACTERS = "<(C[2-9A-F]|D[0-9A-F])><[89AB][0-9A-F]>"
+_TOKENS_SQL = f"""{_WALK_SQL},
+    tokens AS (
+      SELECT i::INT AS token_id, printf('%02X', i) AS token, false AS is_special FROM range(256) t(i)
+      UNION ALL SELECT 256 + rank, l || r, false FROM learned
+      UNION ALL SELECT {256 + MERGES} + i::INT, hex(encode('<|reserved_' || i || '|>')), true FROM range(4) t(i)),
+    spelled AS (SELECT *, regexp_replace(token, '(..)', '<\\1>', 'g') AS s FROM tokens),
+    parts AS (SELECT *, regexp_replace(s, '{_CHARACTERS}', 'cc', 'g') AS p FROM spelled)"""
+_TOKEN_BYTES_SQL = f"""WITH RECURSIVE {_TOKENS_SQL}
+    SELECT token_id, token, is_special, CASE WHEN is_special THEN 0 ELSE
+      (length(regexp_replace(p, '<[89A-F][0-9A-F]>', '', 'g')) - 2 * len(regexp_extract_all(p, 'cc'))) // 4
+      + 2 * len(regexp_extract_all(p, 'cc')) + 3 * len(regexp_extract_all(p, '<[89A-F][0-9A-F]>')) END::INT AS nbytes
+    FROM parts"""
+
+
+@query("token_bytes", _TOKEN_BYTES_SQL)
 def token_bytes(spark: SparkSession, d: str) -> DataFrame:
     frame = vocabulary(spark, d).vocab_frame(spark)
     return frame.select("token_id", F.hex("token").alias("token"), "is_special", "nbytes")
@@ -194,7 +211,32 @@ def encode_bytes(spark: SparkSession, d: str) -> DataFrame:
     return encoded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"))
 
 
-@query("encode_trained")
+@query("vocab_saved", _TOKEN_BYTES_SQL)
+def vocab_saved(spark: SparkSession, d: str) -> DataFrame:
+    """Saved, kept by a second save, read back into a vocabulary, and laid out again."""
+    path = scratch_path(spark, "vocab")
+    vocab_source.write_vocab(spark, vocabulary(spark, d), path)
+    if vocab_source.write_vocab(spark, tk.Vocabulary([b"x"]), path):
+        raise ValueError("a finished vocabulary was replaced")
+    frame = vocab_source.read_vocab(spark, path).vocab_frame(spark)
+    return frame.select("token_id", F.hex("token").alias("token"), "is_special", "nbytes")
+
+
+@query(
+    "encode_trained",
+    f"""WITH RECURSIVE {_WALK_SQL},
+    ids AS (SELECT printf('%02X', i) AS token, i::INT AS id FROM range(256) t(i) UNION ALL SELECT l || r, 256 + rank FROM learned),
+    final AS (SELECT regexp_replace(w, '[<>]', '', 'g') AS h, w[2:-2] AS parts FROM walk WHERE step = {MERGES}),
+    spelled AS (SELECT f.h, string_agg(i.id, ',' ORDER BY f.k) AS ids, count(*) AS n FROM (
+        SELECT h, unnest(string_split(parts, '><')) AS t, generate_subscripts(string_split(parts, '><'), 1) AS k FROM final) f
+      JOIN ids i ON i.token = f.t GROUP BY f.h),
+    p AS (SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k FROM (
+        SELECT doc_id, {pieces_sql("text")} AS pieces FROM documents)),
+    e AS (SELECT doc_id, k, coalesce(s.ids, i.id::VARCHAR) AS ids, coalesce(s.n, 1) AS n FROM p
+      LEFT JOIN spelled s ON s.h = hex(encode(piece)) LEFT JOIN ids i ON i.token = hex(encode(piece)) AND length(i.token) = 2)
+    SELECT doc_id, (sum(n) + 1)::INT AS n_tokens, md5('{256 + MERGES},' || string_agg(ids, ',' ORDER BY k)) AS tokens_digest
+    FROM e GROUP BY doc_id""",
+)
 def encode_trained(spark: SparkSession, d: str) -> DataFrame:
     encoded = tk.encode(documents(spark, d), vocabulary(spark, d), prepend_bos=True)
     digest = F.md5(F.array_join("tokens", ",").cast("binary"))
@@ -283,7 +325,7 @@ def _windows_sql(limit: int) -> str:
 )
 def packing_profile(spark: SparkSession, d: str) -> DataFrame:
     placed = with_position(_token_sizes(spark, d), "k")
-    return rounded(sequence.packing_profile(sequence.packed_rows(placed)), "mean_documents", "single_share")
+    return rounded(sequence.packing_profile(sequence.packed_rows(placed, chunk_rows=CHUNK_ROWS // 10)), "mean_documents", "single_share")
 
 
 PACK_CHARS = 5000
@@ -301,7 +343,7 @@ def packing_profile_chars(spark: SparkSession, d: str) -> DataFrame:
     """The same rule on character lengths, where SQL can follow it."""
     docs = corpus.clean(posts(spark, d))
     placed = with_position(docs.select(F.char_length("text").alias("n"), tx.shuffle_key("text").alias("k")), "k")
-    return rounded(sequence.packing_distribution(sequence.packed_rows(placed, PACK_CHARS)), "share")
+    return rounded(sequence.packing_distribution(sequence.packed_rows(placed, PACK_CHARS, chunk_rows=CHUNK_ROWS // 10)), "share")
 
 
 _BOS = 256 + len(GIVEN)
