@@ -2,10 +2,11 @@
 
 Base spans are e-mail addresses, IP addresses, card and telephone numbers. Beyond them, the corpus tells which
 terms reveal a protected entity: with N texts, of which n(e) hold the entity, n(t) the term and n(e, t) the
-term within NEAR words of the entity, pointwise mutual information log2(n(e, t) N / (n(e) n(t))) is compared
-with the information log2(N / n(e)) that the entity itself carries. A term at DISCLOSES of it or more is
-generalised, at REMOVES of it or more removed, where it stands near that entity. Evidence must come from
-SUPPORT different surroundings, so that copies of one text are no evidence.
+term among the NEAR words on either side of the entity, words in base spans left aside, pointwise mutual
+information log2(n(e, t) N / (n(e) n(t))) is compared with the information log2(N / n(e)) that the entity
+itself carries. A term at DISCLOSES of it or more is generalised, at REMOVES of it or more removed, where it
+stands near that entity. Evidence must come from SUPPORT different surroundings, so that copies of one text
+are no evidence.
 
 Counts are over all texts. Term counts need only the terms that stand near entities often enough; those are
 announced to all tasks by a bitmap of fixed size, and what its collisions let through is dropped by the join.
@@ -18,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left
 from zlib import crc32
 
 import pyarrow as pa
@@ -28,7 +31,7 @@ from sheafmill.llm.common import arrow_type, as_bytes, id_type, map_rows, materi
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-NEAR, REACH = 5, 200
+NEAR = 5
 SUPPORT = 2
 DISCLOSES, REMOVES = 0.8, 1.0
 #: Bits of the map that announces terms: half a megabyte, whatever the corpus.
@@ -104,22 +107,37 @@ def spelled(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{(*KINDS, TERM)[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> tuple[array, array]:
+    """Starts and ends of the words that touch no span, in order; one walk along text and spans."""
+    starts, stops = array("q"), array("q")
+    k, taken = 0, 0
+    for m in _WORD.finditer(text):
+        while k < len(spans) and spans[k][0] < m.end():
+            taken = max(taken, spans[k][2])
+            k += 1
+        if m.start() >= taken:
+            starts.append(m.start())
+            stops.append(m.end())
+    return starts, stops
+
+
 def surroundings(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Words within NEAR of each entity, outside all spans: entity, term, place, hash of the surroundings."""
+    """The NEAR words on either side of each entity, of those outside all spans: entity, term, place, hash of
+    the surroundings. An entity without any has one row with an empty term, so that its text counts."""
+    if not spans:
+        return []
     rows = []
+    starts, stops = words_outside(text, spans)
     for start, kind, end in spans:
-        words = list(_WORD.finditer(text, max(0, start - REACH), start))[-NEAR:]
-        for m in _WORD.finditer(text, end, end + REACH):
-            words.append(m)
-            if len(words) >= 2 * NEAR:
-                break
-        words = [m for m in words if not any(s < m.end() and m.start() < e for s, _, e in spans)]
-        around = crc32(" ".join(m.group().lower() for m in words).encode())
+        at = bisect_left(starts, start)
+        near = range(max(0, at - NEAR), min(len(starts), at + NEAR))
+        words = [text[starts[i] : stops[i]].lower() for i in near]
+        around = crc32(" ".join(words).encode())
         entity = f"{KINDS[kind]}:{text[start:end].lower()}"
         rows += [
-            {"entity": entity, "term": m.group().lower(), "start": m.start(), "stop": m.end(), "around": around}
-            for m in words
-        ]
+            {"entity": entity, "term": word, "start": starts[i], "stop": stops[i], "around": around}
+            for i, word in zip(near, words)
+        ] or [{"entity": entity, "term": "", "start": start, "stop": start, "around": around}]
     return rows
 
 
@@ -191,10 +209,9 @@ def term_counts(docs: DataFrame, announced: bytes) -> DataFrame:
 
 def disclosures(docs: DataFrame, found: DataFrame, total: int) -> DataFrame:
     """(entity, term, removed) for the terms that reveal an entity."""
-    near = found.withColumn("text_no", F.monotonically_increasing_id()).select("text_no", F.explode("near").alias("w"))
-    near = near.select("text_no", "w.entity", "w.term", "w.around")
-    held = near.groupBy("entity", "text_no").agg(F.lit(1)).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    alike = near.groupBy("entity", "term", "around").agg(F.countDistinct("text_no").alias("n"))
+    near = found.select("row", F.explode("near").alias("w")).select("row", "w.entity", "w.term", "w.around")
+    held = near.groupBy("entity", "row").agg(F.lit(1)).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    alike = near.filter("term <> ''").groupBy("entity", "term", "around").agg(F.countDistinct("row").alias("n"))
     pairs = alike.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support"))
     pairs = materialise(pairs.filter(F.col("support") >= SUPPORT).join(held, "entity"), "near-terms")
     counts = term_counts(docs, announce(pairs.select("term")))
@@ -208,7 +225,8 @@ def disclosures(docs: DataFrame, found: DataFrame, total: int) -> DataFrame:
 
 def all_spans(docs: DataFrame) -> DataFrame:
     """Per row of `docs`: doc_id, text_crc, base, and terms, an array of (start, stop, removed)."""
-    found = materialise(find(docs), "private-spans").withColumn("row", F.monotonically_increasing_id())
+    # Numbered before they are written: a second scan may cut the files differently.
+    found = materialise(find(docs).withColumn("row", F.monotonically_increasing_id()), "private-spans")
     told = disclosures(docs, found, found.count())
     near = found.select("row", F.explode("near").alias("w")).select("row", "w.entity", "w.term", "w.start", "w.stop")
     terms = (

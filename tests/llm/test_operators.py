@@ -399,6 +399,27 @@ def test_private_query(spark, sf_dir, text_of):
         assert set(filter(None, spelled.split(","))) <= set(r.spans.split(","))
 
 
+def test_words_around_entities():
+    rng = random.Random(11)
+    parts = ["a@b.cd", "10.0.0.1", "+49 170 1234567", "word", "Ü", "x" * 300, "12", "--", "n.o@p.qr.st", "two words"]
+    for _ in range(200):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(40)))
+        spans = private_terms.base_spans(text)
+        words = [
+            m for m in private_terms._WORD.finditer(text)
+            if not any(s < m.end() and m.start() < e for s, _, e in spans)
+        ]
+        expected = []
+        for start, kind, end in spans:
+            before = [m for m in words if m.end() <= start][-private_terms.NEAR :]
+            behind = [m for m in words if m.start() >= end][: private_terms.NEAR]
+            places = [(m.start(), m.end()) for m in before + behind] or [(start, start)]
+            expected += [(f"{private_terms.KINDS[kind]}:{text[start:end].lower()}", *p) for p in places]
+        got = private_terms.surroundings(text, spans)
+        assert [(r["entity"], r["start"], r["stop"]) for r in got] == expected
+        assert all(r["term"] == text[r["start"] : r["stop"]].lower() for r in got)
+
+
 def test_terms_that_tell(spark):
     rng = random.Random(7)
     filler = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(200)]
