@@ -60,3 +60,15 @@ def only(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id") -> DataFram
     """The rows of `docs` whose id is in `chosen`, with all columns; a null id equals a null id."""
     ids = chosen.select(F.col(id_col).alias("_chosen_id"))
     return docs.join(ids, docs[id_col].eqNullSafe(ids["_chosen_id"]), "left_semi")
+
+
+def parts(data: bytes, cut: bytes = b" ", size: int = 1 << 22) -> Iterator[bytes]:
+    """`data` in parts of some `size` bytes that begin at a `cut`, so that a very long text is never split at once."""
+    at = 0
+    while len(data) - at > size:
+        end = data.find(cut, at + size)
+        if end < 0:
+            break
+        yield data[at:end]
+        at = end
+    yield data[at:] if at else data
