@@ -1,8 +1,9 @@
 """Byte-level byte-pair encoding and decoding by dynamic programming over byte prefixes.
 
 For each prefix of a piece there is exactly one token that its encoding ends with. It is found among
-the tokens that are suffixes of the prefix: the one that may stand behind the last token of the
-shorter prefix that it leaves. Storing that token for each prefix makes appending exact, since stored
+the tokens that are suffixes of the prefix, longest first, as a trie over reversed tokens lists them: the one that
+may stand behind the last token of the shorter prefix that it leaves. Pieces that are new to a worker are taken
+in sorted order, so that one begins with the stored prefixes it shares with the one before. Storing that token for each prefix makes appending exact, since stored
 prefixes never change, and an edit needs work only from its place to where the stored tokens agree
 again for as many bytes as the longest token has. Time is linear in the piece.
 
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -29,8 +32,11 @@ from sheafmill.llm.common import arrow_type, as_bytes, id_type, map_rows, texts
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Pieces up to this many characters are remembered, so many of them in each of two generations.
-SHORT, REMEMBERED = 48, 200_000
-_NEVER, _ASK = -1, -2
+SHORT, REMEMBERED = 48, 400_000
+#: Bytes of text that are split and looked up together.
+TOGETHER = 2 << 20
+#: Stands for the beginning of a piece where a token has none before it.
+_FIRST = -1
 
 
 class Vocabulary:
@@ -42,9 +48,21 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.longest = max(map(len, ranks))
-        #: What may end a prefix: a token that merges make, _NEVER for a mere ending, _ASK if not known yet.
-        self.endings = {t[k:]: _NEVER for t in ranks for k in range(1, len(t))}
-        self.endings.update(dict.fromkeys(ranks, _ASK))
+        #: Trie over reversed tokens, and for each node the tokens that end its string, longest first.
+        self.child: dict[int, int] = {}
+        self.endings: list[tuple] = [()]
+        for token in sorted(ranks, key=len):
+            node = 0
+            for byte in reversed(token):
+                key = node << 8 | byte
+                if key not in self.child:
+                    self.child[key] = len(self.endings)
+                    self.endings.append(self.endings[node])
+                node = self.child[key]
+            self.endings[node] = ((len(token) - 1, ranks[token]), *self.endings[node])
+        self.sizes = list(map(len, self.tokens))
+        #: Token that one more byte makes of a token.
+        self.grown = {ranks[t[:-1]] << 8 | t[-1]: rank for t, rank in ranks.items() if t[:-1] in ranks}
         self._right: dict[int, tuple] = {}
         self._left: dict[int, tuple] = {}
         self._parts: dict[int, tuple[int, int] | None] = {}
@@ -85,47 +103,50 @@ class Vocabulary:
         return known[token]
 
     def beside(self, a: int, b: int) -> bool:
-        """Whether the border between a and b survives when their joined bytes are encoded."""
+        """Whether b can be made, and the border between a and b survives when their joined bytes are encoded."""
         key = (a, b)
         known = self._beside.get(key)
         if known is None:
             if len(self._beside) > 1_000_000:
                 self._beside.clear()
             get, none = self.ranks.get, len(self.tokens)
-            known = not any(
+            known = self.reachable(b) and (a == _FIRST or not any(
                 (rank := get(x + y, none)) < x_ends and rank <= y_ends and rank < none
                 for x, x_ends in self._edge(a, 1)
                 for y, y_ends in self._edge(b, 0)
-            )
+            ))
             self._beside[key] = known
         return known
 
     def extend(self, data: bytes, last: list[int], stop: int | None = None) -> list[int]:
         """`last`, the last token of each known prefix, grown to all prefixes of `data`."""
-        find, known, beside, longest = self.endings.get, self._beside, self.beside, self.longest
-        for end in range(len(last) + 1, (len(data) if stop is None else stop) + 1):
-            fitting = []
-            for start in range(end - 1, max(end - longest, 0) - 1, -1):
-                token = find(data[start:end])
-                if token is None:
+        child, endings, known, beside = self.child.get, self.endings, self._beside.get, self.beside
+        grown, sizes, token = self.grown.get, self.sizes, last[-1] if last else _FIRST
+        for end in range(len(last), len(data) if stop is None else stop):
+            if end:  # the last token and one more byte is what fits most often, and only one token fits
+                longer = grown(token << 8 | data[end])
+                if longer is not None:
+                    start = end - sizes[token]
+                    left = last[start - 1] if start else _FIRST
+                    if known((left, longer)) or beside(left, longer):
+                        last.append(longer)
+                        token = longer
+                        continue
+            node = 0
+            for at in range(end, -1, -1):
+                longer = child(node << 8 | data[at])
+                if longer is None:
                     break
-                if token == _ASK:
-                    token = self._settle(data[start:end])
-                if token >= 0:
-                    fitting.append((start, token))
-            for start, token in reversed(fitting):
-                if not start or (known.get((last[start - 1], token)) or beside(last[start - 1], token)):
+                node = longer
+            for before, token in endings[node]:
+                left = last[end - before - 1] if before < end else _FIRST
+                if known((left, token)) or beside(left, token):
                     last.append(token)
                     break
             else:
-                raise ValueError(f"no token ends the first {end} bytes")
+                raise ValueError(f"no token ends the first {end + 1} bytes")
         return last
 
-    def _settle(self, data: bytes) -> int:
-        token = self.ranks[data]
-        self.endings[data] = token if self.reachable(token) else _NEVER
-        return self.endings[data]
-
     def ids(self, last: list[int]) -> list[int]:
         """The encoding that the stored last tokens spell, read from the end."""
         found, at = [], len(last)
@@ -174,20 +195,39 @@ class Encoded:
         return done - start
 
 
-class Pieces(dict):
+class Pieces:
     """Encodings of pieces by their text; short ones are remembered, what is in use stays."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.old = vocabulary, {}
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        made = self.old.get(piece) or self.vocabulary.encode_piece(piece.encode())
-        if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = made
-        return made
+        self.vocabulary, self.young, self.old = vocabulary, {}, {}
+
+    def of(self, lists: list[list[str]]) -> dict[str, tuple[int, ...]]:
+        """Encodings of at least the pieces in `lists`."""
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        long, unseen = {}, []
+        for piece in set().union(*lists).difference(young):
+            if piece in old:
+                young[piece] = old[piece]
+            else:
+                unseen.append((piece.encode(), piece))
+        ranks, extend, ids = self.vocabulary.ranks, self.vocabulary.extend, self.vocabulary.ids
+        before, last = b"", []
+        for data, piece in sorted(unseen):
+            whole = ranks.get(data)
+            if whole is None:
+                shared = 0
+                for a, b in zip(before, data):
+                    if a != b:
+                        break
+                    shared += 1
+                before, last = data, extend(data, last[:shared])
+                made = tuple(ids(last))
+            else:
+                made = (whole,)
+            (young if len(piece) <= SHORT else long)[piece] = made
+        return {**young, **long} if long else young
 
 
 @lru_cache(maxsize=4)
@@ -196,11 +236,44 @@ def vocabulary(path: str = RANKS) -> Vocabulary:
         return Vocabulary({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
 
 
+@lru_cache(maxsize=4)
+def splitter(pattern: str = public_tokenizers.PATTERN):
+    """Texts to pieces. Texts of Latin letters take the standard library's engine, for which the pattern's
+    classes are spelled out; all others take the pattern itself."""
+    whole = regex.compile(pattern).findall
+    if pattern != public_tokenizers.PATTERN:
+        return whole
+    odd = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ſ]").search
+    quick = re.compile(
+        r" ?[A-Za-zÀ-ÖØ-öø-ſ]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ſ]+|\s+(?!\S)|\s+"
+    ).findall
+    return lambda text: whole(text) if odd(text) else quick(text)
+
+
 @lru_cache(maxsize=4)
 def coder(path: str = RANKS, pattern: str = public_tokenizers.PATTERN):
-    """One per Python worker: text to ids, by the pieces that the pattern matches."""
-    known, split = Pieces(vocabulary(path)), regex.compile(pattern).findall
-    return lambda text: list(chain.from_iterable(map(known.__getitem__, split(text))))
+    """One per Python worker: texts to lists of ids, by the pieces that the pattern matches."""
+    known, split = Pieces(vocabulary(path)), splitter(pattern)
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        lists = list(map(split, texts))
+        find = known.of(lists).__getitem__
+        return [list(chain.from_iterable(map(find, pieces))) for pieces in lists]
+
+    return encode
+
+
+def together(texts: list[bytes]) -> Iterator[list[str]]:
+    """Texts in groups of some TOGETHER bytes, decoded."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text.decode("utf-8", "replace"))
+        size += len(text)
+        if size > TOGETHER:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -211,7 +284,7 @@ def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.
         ids = coder(path, pattern)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            made = [ids(t.decode("utf-8", "replace")) for t in as_bytes(batch.column(1))]
+            made = [x for group in together(as_bytes(batch.column(1))) for x in ids(group)]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow_type(kind)), pa.array(made, pa.list_(pa.int32()))],
                 ["doc_id", "ids"],
@@ -248,13 +321,13 @@ def round_trip(docs: DataFrame, path: str = RANKS, pattern: str = public_tokeniz
         ids_of, known = coder(path, pattern), vocabulary(path)
         spelled = list(map(str, range(len(known.tokens))))
 
-        def one(text: bytes) -> tuple[int, str, str]:
-            ids = ids_of(text.decode("utf-8", "replace"))
+        def one(ids: list[int]) -> tuple[int, str, str]:
             listed = " ".join(map(spelled.__getitem__, ids)).encode()
             return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(known.decode(ids)).hexdigest()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n, ids, data = zip(*map(one, as_bytes(batch.column(1))))
+            made = (one(x) for group in together(as_bytes(batch.column(1))) for x in ids_of(group))
+            n, ids, data = zip(*made)
             return pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow_type(kind)), pa.array(n, pa.int64()), pa.array(ids), pa.array(data)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

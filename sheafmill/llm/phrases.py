@@ -40,7 +40,7 @@ SAMPLE, LOWERED = 16, 0.4
 #: Bits of the map of proposals: 16 MB.
 MAP_BITS = 27
 #: Text that is numbered together.
-CHUNK = 6 << 20
+CHUNK = 3 << 20
 #: Separators become a full stop, tabs spaces, A-Z lower case.
 _PIECES = bytes(
     46 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)
@@ -73,6 +73,7 @@ class Chunk:
         ids[b"."]
         found = b".".join(pieces).replace(b".", b" . ").split()
         self.tokens = np.fromiter(map(ids.__getitem__, found), np.int64, len(found))
+        del found
         self.words = list(ids)
         seed = xxhash.xxh64_intdigest(lang.encode())
         self.hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], np.uint64)
@@ -144,7 +145,7 @@ class Chunk:
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     waiting: dict[str, list[bytes]] = defaultdict(list)
     size: dict[str, int] = defaultdict(int)
-    for batch in batches:
+    for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
         for lang, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
             for part in parts(text.translate(_PIECES), b".", CHUNK):
                 waiting[lang].append(part)

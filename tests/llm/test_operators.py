@@ -458,8 +458,11 @@ def test_encoding_is_tiktokens(tiktoken_encoding):
     pool = [*"ab cdé'stlm \n\t  \x1c\x85  ​　२Ⅷ²日🙂#$%-- ", "don't", "  ", "the", "\r\n", "́", "---------"]
     for _ in range(5000):
         text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 40)))
-        assert encode(text) == tiktoken_encoding.encode_ordinary(text)
-    encode("x" * 100_000)  # linear in a piece
+        assert encode([text, text]) == [tiktoken_encoding.encode_ordinary(text)] * 2
+    for _ in range(2000):  # letters that the quick pattern spells out
+        text = "".join(rng.choice([*"ab's-1 \nÀÖ×Øé÷øſµª²", "'ll"]) for _ in range(rng.randint(0, 30)))
+        assert encode([text]) == [tiktoken_encoding.encode_ordinary(text)]
+    encode(["x" * 100_000, "-" * 100_000])  # linear in a piece
 
 
 def test_appends_and_edits():
