@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -41,15 +42,23 @@ BLOCKS = frozenset(
     tbody td tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math select button object canvas".split())
-APART = frozenset("nav header footer aside form menu dialog head".split())
+#: Read to their end tag without markup, as in the HTML standard.
+RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp".split())
+APART = frozenset("nav header footer aside form menu dialog head template".split())
+#: No text of the page inside; a block that begins before their end tag ends them.
+CONTROLS = frozenset("svg select button object canvas".split())
 HINTS = frozenset(
     """ad ads advert advertisement adverts sponsor sponsored promo banner cookie cookies consent gdpr notice
     notices popup modal overlay newsletter subscribe sidebar nav navbar navigation menu breadcrumb breadcrumbs
     footer header masthead comment comments disqus reply replies share sharing social related widget pagination
     pager toolbar login signup search alert complementary contentinfo""".split()
 )
+#: First or last parts of class names that tell a state of the page rather than what an element is.
+STATES = frozenset("has no with without hide show is not open closed enabled disabled on off".split())
 CONTENT = frozenset("article post entry content story".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: Blocks of running text; a compound name such as social-science says little about them.
+RUNNING = frozenset(("p", "blockquote", "pre", "li", "figcaption", "caption", "td", "dd", "dt", *HEADINGS))
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
@@ -61,11 +70,25 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidd
 _PART, _WORD = re.compile(r"[a-z]+"), re.compile(r"[^\W\d_]+")
 
 
+def hints(names: list[str]) -> tuple[set[str], set[str]]:
+    """Hints that class names, ids and roles give: those that are a whole name, and those that begin or end
+    a compound one which does not tell a state (no-sidebar, comments-open)."""
+    whole, compound = set(), set()
+    for name in names:
+        parts = _PART.findall(name)
+        if len(parts) == 1:
+            whole.update(parts)
+        elif parts and not STATES.intersection((parts[0], parts[-1])):
+            compound.update((parts[0], parts[-1]))
+    return whole & HINTS, compound & HINTS
+
+
 @dataclass
 class Block:
     apart: bool
     inside: int  # number of the article or main element, 0 outside
     heading: bool
+    doubtful: bool = False  # only its length and stop words can make it good
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
@@ -75,21 +98,36 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """Non-empty blocks in page order."""
     made: list[Block] = []
-    stack: list[tuple[str, bool, int, bool]] = []  # tag, apart, inside, link
+    # tag, apart, inside, link, loose (apart only by a compound name), doubtful (running text with such a name)
+    stack: list[tuple[str, bool, int, bool, bool, bool]] = []
+    opened: Counter = Counter()  # how often each tag is on the stack
     current, containers, at = None, 0, 0
 
     def add(raw: str) -> None:
         nonlocal current
-        _, apart, inside, link = stack[-1] if stack else ("", False, 0, False)
+        _, apart, inside, link, _, doubtful = stack[-1] if stack else _OUTSIDE
+        if apart and opened["button"] + opened["select"] + opened["svg"] + opened["object"] + opened["canvas"]:
+            return  # a control inside a sentence does not end its block
         if current is None:
-            heading = any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t, *_ in stack)
-            current = Block(apart, inside, heading)
+            current = Block(apart, inside, any(opened[t] for t in HEADINGS), doubtful)
             made.append(current)
         text = html.unescape(raw)
         current.parts.append(text)
         if link:
             current.linked += len("".join(text.split()))
 
+    def close(tags: frozenset, within: frozenset = frozenset()) -> None:
+        """End the innermost open element of `tags` with all inside it, unless one of `within` stands between."""
+        if not any(opened[t] for t in tags):
+            return
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth][0] in tags:
+                opened.subtract(t for t, *_ in stack[depth:])
+                del stack[depth:]
+                return
+            if stack[depth][0] in within:
+                return
+
     while at < len(page):
         match = _TOKEN.search(page, at)
         if match is None:
@@ -108,47 +146,54 @@ def blocks(page: str) -> list[Block]:
                 current.parts.append(" " if tag == "br" else "")
             continue
         if match["end"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            close(frozenset((tag,)))
             continue
         if tag in RAW:
             if not match["rest"].endswith("/"):
-                close = re.compile(rf"</{tag}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else len(page)
+                ended = re.compile(rf"</{tag}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = ended.end() if ended else len(page)
             continue
-        if tag in VOID:
+        if tag in VOID or (tag in CONTROLS and match["rest"].endswith("/")):
             continue
-        if tag in BLOCKS:  # an open paragraph ends here
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in BLOCKS:
-                    break
-        _, apart, inside, link = stack[-1] if stack else ("", False, 0, False)
+        if tag in BLOCKS:
+            for _ in range(min(8, sum(opened[t] for t in CONTROLS))):
+                close(CONTROLS, BLOCKS)
+            close(_PARAGRAPH, BLOCKS)  # an open paragraph ends here
+        _, apart, inside, link, loose, doubtful = stack[-1] if stack else _OUTSIDE
         rest = match["rest"]
-        named = set()
+        names, hidden = [], False
         if rest and tag not in ("html", "body"):
             for found in _NAMED.finditer(rest):
-                named.update(_PART.findall((found[2] or found[3] or found[4] or "").lower()))
-            apart = apart or bool(_HIDDEN.search(rest))
+                names += (found[2] or found[3] or found[4] or "").lower().split()
+            hidden = bool(_HIDDEN.search(rest))
+        named = {part for name in names for part in _PART.findall(name)}
         article = tag in ("article", "main") or (bool(named & CONTENT) and tag in ("div", "section", "td"))
-        hints = named & HINTS
+        whole, compound = hints(names)
         if inside or article:  # an article's own head holds its title
-            hints -= {"header", "banner", "search"}
-        if hints or (tag in APART and not (tag == "header" and inside)):
-            apart = True
+            whole, compound = whole - _HEAD, compound - _HEAD
+        if article and not whole and not hidden:  # an article is not apart for what its state or its holder is called
+            compound = set()
+            apart = apart and not loose
+        if hidden or whole or tag in CONTROLS or (tag in APART and not (tag == "header" and inside)):
+            apart, loose = True, False
+        elif compound and tag in RUNNING:
+            doubtful = True
+        elif compound and not apart:
+            apart = loose = True
         if article and not inside and not apart:
             containers += 1
             inside = containers
-        stack.append((tag, apart, inside, link or tag == "a"))
+        stack.append((tag, apart, inside, link or tag == "a", loose, doubtful))
+        opened[tag] += 1
     for block in made:
         block.text = " ".join("".join(block.parts).split())
     return [b for b in made if b.text]
 
 
+_OUTSIDE = ("", False, 0, False, False, False)
+_PARAGRAPH, _HEAD = frozenset(("p",)), {"header", "banner", "search"}
+
+
 def judge(block: Block) -> str:
     """good, near, bad, or short where the block alone does not tell."""
     if block.apart:
@@ -157,9 +202,11 @@ def judge(block: Block) -> str:
     if block.linked > LINKS * size:
         return "bad"
     if size < SHORT:
-        return "bad" if block.linked and not block.inside else "short"
+        return "bad" if block.doubtful or (block.linked and not block.inside) else "short"
     words = _WORD.findall(block.text.lower())
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if block.doubtful:
+        return "good" if density >= (LOW if block.inside else HIGH) else "bad"
     if density >= HIGH:
         return "good" if block.inside or size > LONG else "near"
     if density >= LOW:
@@ -172,26 +219,30 @@ def settle(found: list[Block]) -> list[Block]:
     labels = [judge(b) for b in found]
     decided = {"good", "bad"}
 
-    def neighbour(i: int, step: int, own: bool, known: list[str]) -> str:
-        k = i + step
-        while 0 <= k < len(found):
-            if known[k] in decided and (not own or found[k].inside == found[i].inside):
-                if not (own and found[k].apart):
-                    return known[k]
-            k += step
-        return ""
+    def nearest(order: range, own: bool) -> list[str]:
+        """The label of the nearest decided block before each in the given order; with `own`, of its container."""
+        seen: dict[int, str] = {}
+        out = [""] * len(found)
+        for i in order:
+            place = found[i].inside if own else 0
+            out[i] = seen.get(place, "")
+            if labels[i] in decided and not (own and found[i].apart):
+                seen[place] = labels[i]
+        return out
 
+    ways = range(len(found)), range(len(found) - 1, -1, -1)
+    sides_of = {own: [nearest(way, own) for way in ways] for own in (False, True)}
     first = list(labels)
     for i, block in enumerate(found):
         if first[i] in decided:
             continue
         own = bool(block.inside)
-        sides = {neighbour(i, -1, own, first), neighbour(i, 1, own, first)} - {""}
+        sides = {side[i] for side in sides_of[own]} - {""}
         if own:
             labels[i] = "bad" if sides == {"bad"} else "good"
         elif first[i] == "near":
             labels[i] = "bad" if sides == {"bad"} else "good"
-        elif block.heading and neighbour(i, 1, False, first) == "good":
+        elif block.heading and sides_of[False][1][i] == "good":
             labels[i] = "good"
         else:
             labels[i] = "good" if sides == {"good"} else "bad"

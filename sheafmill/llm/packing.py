@@ -40,12 +40,15 @@ STEPS, FEW = 64, 4
 #: Shares of the fitted repeat counts that are tried.
 SHARES = (1.0, 0.9, 0.75)
 #: Encoded words that a worker remembers, in each of two generations; longer ones are not remembered.
-REMEMBERED, SHORT = 250_000, 32
+REMEMBERED, SHORT = 400_000, 32
 #: With these characters alone, lower case is the whole normalisation and Python splits the same.
 _PLAIN = re.compile(r"[^\t-\r -~¡-įı-ſ]")
 _SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 #: The vocabulary file's own pattern for what is merged separately.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The same for texts without characters beyond these, in the standard library's engine.
+_RARE = re.compile(r"[^\t-\r -~À-ÖØ-öø-įı-ſ]")
+_QUICK = re.compile(r"[a-zß-öø-ſ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9ß-öø-ſ]+")
 
 
 class Coder:
@@ -66,7 +69,8 @@ class Coder:
 
     def learn(self, words: list[str]) -> list[bytes]:
         """The ids of words that are in no memory; each word ends with a token that ends a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ids = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
+        ids = np.array(ids, "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words):
             return [self.ids(w) for w in words]
@@ -75,7 +79,7 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [not _PLAIN.search(t) and not any(s in t for s in _SPECIAL) for t in texts]
-        split = [_WORDS.findall(t.lower()) if p else () for t, p in zip(texts, plain)]
+        split = [(_WORDS if _RARE.search(t) else _QUICK).findall(t.lower()) if p else () for t, p in zip(texts, plain)]
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old

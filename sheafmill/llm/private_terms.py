@@ -5,8 +5,9 @@ terms reveal a protected entity: with N texts, of which n(e) hold the entity, n(
 term among the NEAR words on either side of the entity, words in base spans left aside, pointwise mutual
 information log2(n(e, t) N / (n(e) n(t))) is compared with the information log2(N / n(e)) that the entity
 itself carries. A term at DISCLOSES of it or more is generalised, at REMOVES of it or more removed, where it
-stands near that entity. Evidence must come from SUPPORT different surroundings, so that copies of one text
-are no evidence.
+stands near that entity. A text counts once however often it holds both. Evidence must come from SUPPORT texts
+with different surroundings (of several in a text the one with the least hash counts), so that neither copies of
+a text nor repetition inside it are evidence.
 
 Counts are over all texts. Term counts need only the terms that stand near entities often enough; those are
 announced to all tasks by a bitmap of fixed size, and what its collisions let through is dropped by the join.
@@ -211,7 +212,8 @@ def disclosures(docs: DataFrame, found: DataFrame, total: int) -> DataFrame:
     """(entity, term, removed) for the terms that reveal an entity."""
     near = found.select("row", F.explode("near").alias("w")).select("row", "w.entity", "w.term", "w.around")
     held = near.groupBy("entity", "row").agg(F.lit(1)).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    alike = near.filter("term <> ''").groupBy("entity", "term", "around").agg(F.countDistinct("row").alias("n"))
+    texts_of = near.filter("term <> ''").groupBy("entity", "term", "row").agg(F.min("around").alias("around"))
+    alike = texts_of.groupBy("entity", "term", "around").agg(F.count("*").alias("n"))
     pairs = alike.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support"))
     pairs = materialise(pairs.filter(F.col("support") >= SUPPORT).join(held, "entity"), "near-terms")
     counts = term_counts(docs, announce(pairs.select("term")))

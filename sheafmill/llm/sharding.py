@@ -60,23 +60,31 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def place(df: DataFrame, table: list[str], key: str = "doc_id") -> DataFrame:
-    """`df` with slot and shard; there is no shuffle."""
-    clash = [c for c in df.columns if c.lower() in ("slot", "shard")]
-    rows = df.drop(*clash).withColumn("slot", slot_of(df[key], len(table)))
-    return rows.join(lookup(df.sparkSession, table), "slot").select(
-        *[c for c in df.columns if c not in clash], "slot", "shard"
-    )
+    """`df`, all its columns, with slot and shard behind them; there is no shuffle.
+
+    Where `df` has columns of these names, the new ones are named with an underscore before them.
+    """
+    slot, shard = free(df, "slot"), free(df, "shard")
+    rows = df.withColumn(slot, slot_of(df[key], len(table)))
+    found = lookup(df.sparkSession, table).toDF(slot, shard)
+    return rows.join(F.broadcast(found), slot).select(*df.columns, slot, shard)
+
+
+def free(df: DataFrame, name: str) -> str:
+    while name in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
 
 
 def write_shards(
     df: DataFrame, path: str, table: list[str], key: str = "doc_id", files: int = 4
 ) -> DataFrame:
     """Parquet folders shard=<name>, `files` files each, and the manifest of their rows."""
-    placed = place(df, table, key)
+    placed, shard = place(df, table, key), free(df, "shard")
     part = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(files))  # spreads a hot key as well
-    placed.repartition("shard", part).write.partitionBy("shard").mode("errorifexists").parquet(path)
+    placed.repartition(shard, part).write.partitionBy(shard).mode("errorifexists").parquet(path)
     written = df.sparkSession.read.parquet(path)
-    return written.groupBy("shard").agg(F.count("*").alias("n_rows"))
+    return written.groupBy(shard).agg(F.count("*").alias("n_rows"))
 
 
 def names(count: int) -> list[str]:

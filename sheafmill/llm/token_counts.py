@@ -5,7 +5,8 @@ and tokens. An edit walks down the tree to its place, takes the pre-tokens it to
 white space before that (what the split pattern looks at beyond its match), splits and encodes anew until a border falls on an old border
 behind the edit, and updates the sums on the way up. The rest of the document is neither split nor encoded.
 
-The state of a document is one row: characters and tokens of each pre-token, and the sums.
+The state of a document is one row: its text, characters and tokens of each pre-token, and the sums. states() makes
+it, advance() takes it with new edits to the next state, and encodes nothing but what the edits touch.
 
 Defined results: null text is empty and has no tokens; edits apply in the order of seq, each to the text that
 the ones before left; an edit beyond the end is cut to the text, a null start or length counts as 0 and a
@@ -16,7 +17,9 @@ id are left out; an empty table gives an empty result; other columns are not rea
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import accumulate
 
 import public_tokenizers
 import pyarrow as pa
@@ -24,12 +27,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafmill.llm.byte_bpe import splitter
 from sheafmill.llm.common import arrow_type, id_type, map_rows, texts
+from sheafmill.llm.private_terms import emails
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Pre-tokens in a bucket when a tree is built; a bucket of four times as many has the tree rebuilt.
 BUCKET = 64
-REMEMBERED, SHORT = 250_000, 48
+REMEMBERED, SHORT = 400_000, 48
 
 
 class Counter(dict):
@@ -40,11 +45,15 @@ class Counter(dict):
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.pattern, self.old = regex.compile(pattern), {}
+        def library(split: str):
+            return tiktoken.Encoding("own", pat_str=split, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+        # the library's splitter fails on very long white space; a pre-token needs no splitting
+        self.encode, self.encode_piece = library(pattern), library(r"[\s\S]+")
+        self.pattern, self.split, self.old = regex.compile(pattern), splitter(pattern), {}
 
     def __missing__(self, piece: str) -> int:
-        n = self.old.get(piece) or len(self.encode(piece))
+        n = self.old.get(piece) or len(self.encode_piece(piece))
         if len(piece) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
@@ -63,9 +72,17 @@ class Tree:
 
     def __init__(self, count: Counter, text: str = ""):
         self.count, self.encoded = count, 0
-        pieces = count.pattern.findall(text)
+        pieces = count.split(text)
         self._build(list(zip(pieces, map(count.__getitem__, pieces))))
 
+    @classmethod
+    def restored(cls, count: Counter, text: str, chars: list[int], tokens: list[int]) -> Tree:
+        """The tree of a stored state; nothing is split or encoded."""
+        tree = cls(count)
+        ends = list(accumulate(chars))
+        tree._build([(text[i:j], n) for i, j, n in zip([0, *ends], ends, tokens)])
+        return tree
+
     def _build(self, leaves: list[tuple[str, int]]) -> None:
         self.buckets = [leaves[k : k + BUCKET] for k in range(0, len(leaves), BUCKET)] or [[]]
         self.size = 1 << (len(self.buckets) - 1).bit_length()
@@ -176,29 +193,62 @@ class Tree:
         return len(made)
 
 
-def states(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """The trees as rows: doc_id, n_tokens, piece_chars, piece_tokens, sums of characters and tokens."""
-    kind = id_type(docs)
+def _apply(tree: Tree, edits: list[dict] | None) -> None:
+    for e in sorted(edits or (), key=lambda e: e["seq"] or 0):
+        tree.replace(e["start"] or 0, e["removed"] or 0, e["inserted"] or "")
+
+
+def _stored(rows: DataFrame, path: str, pattern: str, tree: Callable[..., Tree]) -> DataFrame:
+    """The trees that `tree` makes of a counter and the columns behind the id, as rows of STATE."""
+    kind = id_type(rows)
 
     def make():
         count = counter(path, pattern)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            made = [Tree(count, t) for t in batch.column(1).to_pylist()]
+            made = [tree(count, *own) for own in zip(*(c.to_pylist() for c in batch.columns[1:]))]
             lists = [
                 [[len(p) for p, _ in t.leaves()] for t in made], [[n for _, n in t.leaves()] for t in made],
                 [t.chars[1:] for t in made], [t.tokens[1:] for t in made],
             ]
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(arrow_type(kind)), pa.array([t.n_tokens() for t in made], pa.int64())]
+                [batch.column(0).cast(arrow_type(kind)), pa.array([t.text() for t in made])]
+                + [pa.array(v, pa.int64()) for v in ([t.n_tokens() for t in made], [t.encoded for t in made])]
                 + [pa.array(v, pa.list_(pa.int64())) for v in lists],
-                ["doc_id", "n_tokens", "piece_chars", "piece_tokens", "sum_chars", "sum_tokens"],
+                ["doc_id", "text", "n_tokens", "n_encoded", *LISTS],
             )
 
         return step
 
-    lists = ", ".join(f"{c} array<long>" for c in ("piece_chars", "piece_tokens", "sum_chars", "sum_tokens"))
-    return map_rows(texts(docs), f"doc_id {kind}, n_tokens long, {lists}", make)
+    lists = ", ".join(f"{c} array<long>" for c in LISTS)
+    return map_rows(rows, f"doc_id {kind}, text string, n_tokens long, n_encoded long, {lists}", make)
+
+
+#: Per pre-token, and per node of the tree from its root on.
+LISTS = ("piece_chars", "piece_tokens", "sum_chars", "sum_tokens")
+
+
+def states(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """The trees as rows: doc_id, text, n_tokens, n_encoded (0: no edit yet), and LISTS."""
+    return _stored(texts(docs), path, pattern, Tree)
+
+
+def advance(
+    stored: DataFrame, edits: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN
+) -> DataFrame:
+    """The states after `edits` (as for count_edited()) of states that were stored.
+
+    n_encoded is the number of pre-tokens that these edits had encoded; rows without edits encode none.
+    """
+
+    def tree(count: Counter, text: str, chars: list[int], tokens: list[int], own: list[dict] | None) -> Tree:
+        made = Tree.restored(count, text, chars, tokens)
+        _apply(made, own)
+        return made
+
+    found = edits.select(F.col("doc_id").alias("edited_id"), "edits")
+    rows = stored.join(found, stored["doc_id"] == found["edited_id"], "left")
+    return _stored(rows.select(stored["doc_id"], "text", "piece_chars", "piece_tokens", "edits"), path, pattern, tree)
 
 
 def count_edited(
@@ -214,18 +264,19 @@ def count_edited(
     return _counted(own.join(found, own["doc_id"] == found["edited_id"], "left").drop("edited_id"), path, pattern)
 
 
-def _counted(rows: DataFrame, path: str, pattern: str) -> DataFrame:
-    """As count_edited(), over rows of doc_id, text and edits."""
+def _counted(
+    rows: DataFrame, path: str, pattern: str, edits_of: Callable[[str, object], list[dict] | None] = lambda _, edits: edits
+) -> DataFrame:
+    """As count_edited(), over rows of doc_id, text and what `edits_of` turns into the edits of the text."""
     kind = id_type(rows)
 
     def make():
         count = counter(path, pattern)
 
-        def one(text: str, edits: list[dict] | None) -> tuple[int, int, int, int, int]:
-            tree = Tree(count, text)
+        def one(text: str, given: object) -> tuple[int, int, int, int, int]:
+            tree, edits = Tree(count, text), edits_of(text, given)
             before, pieces = tree.n_tokens(), sum(map(len, tree.buckets))
-            for e in sorted(edits or (), key=lambda e: e["seq"] or 0):
-                tree.replace(e["start"] or 0, e["removed"] or 0, e["inserted"] or "")
+            _apply(tree, edits)
             return before, tree.n_tokens(), pieces, len(edits or ()), tree.encoded
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -243,27 +294,17 @@ def _counted(rows: DataFrame, path: str, pattern: str) -> DataFrame:
 COUNTS = ("n_tokens", "n_tokens_edited", "n_pieces", "n_edits", "n_encoded")
 
 
-def release_edits(docs: DataFrame) -> DataFrame:
-    """`docs` with the edits of a release: e-mail addresses replaced, the source named on a last line.
+def release_edits(text: str, source: str | None) -> list[dict]:
+    """The edits of a release: e-mail addresses replaced, the source named on a last line.
 
-    The edits stand beside the text they belong to, so that no join is needed; the last place comes first,
-    so that no edit moves another.
+    One walk over the text finds the addresses; the last place comes first, so that no edit moves another.
     """
-    mail = r"'[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+'"
-    edit = "named_struct('seq', -{0}, 'start', {0}, 'removed', {1}, 'inserted', {2})"
-    kind = "array<struct<seq:bigint,start:bigint,removed:bigint,inserted:string>>"
-    sized = f"""zip_with(slice(split(text, {mail}, -1), 1, size(regexp_extract_all(text, {mail}, 0))),
-        regexp_extract_all(text, {mail}, 0),
-        (gap, found) -> named_struct('gap', bigint(char_length(gap)), 'size', bigint(char_length(found))))"""
-    mails = f"""aggregate({sized}, named_struct('at', 0L, 'made', cast(array() AS {kind})),
-        (s, x) -> named_struct('at', s.at + x.gap + x.size, 'made',
-            array_append(s.made, {edit.format('(s.at + x.gap)', 'x.size', "'[email]'")})), s -> s.made)"""
-    source = r"concat('\nSource: ', coalesce(source, 'unknown'))"
-    last = edit.format("bigint(char_length(text))", "0L", source)
-    return texts(docs, "doc_id", "text", "source").select(
-        "doc_id", "text", F.expr(f"concat({mails}, array({last}))").alias("edits")
-    )
+    named = "\nSource: " + ("unknown" if source is None else source)
+    return [{"seq": -len(text) - 1, "start": len(text), "removed": 0, "inserted": named}] + [
+        {"seq": -start, "start": start, "removed": end - start, "inserted": "[email]"} for start, end in emails(text)
+    ]
 
 
 def edit_counts(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    return _counted(release_edits(docs), path, pattern)
+    """Counts of each text before and after release_edits()."""
+    return _counted(texts(docs, "doc_id", "text", "source"), path, pattern, release_edits)
