@@ -1,21 +1,22 @@
 """Cleaning of a document collection in stages, each written as Parquet and read again.
 
 Every stage takes all that the one before kept. Quality rules drop what they reject; exact dedup keeps one
-row per normalised text; SimHash near-dedup keeps the row with the smallest id of each linked group; private
-terms rewrites texts; best-fit packing lays the rest out in sequences.
-
-Defined results: a null text counts as empty and is rejected by the quality rules; rows that repeat an id
-and text leave one row behind exact dedup; an empty table leaves every stage empty; columns beyond those of
-the documents table go along unchanged until the last stage.
+row per normalised text, the longest, then that with the smallest id; SimHash near-dedup keeps the row with the
+smallest id of each linked group; private terms rewrites texts; best-fit packing lays the rest out in sequences.
+Both dedup stages number rows and choose by that number, so ids may repeat or be missing.
+
+Defined results: a null text counts as empty and is rejected by the quality rules; rows that share an id, or
+have none, are kept or dropped by their texts alone; a null id ranks behind all others, and of equal ids
+the row numbered first; an empty table leaves every stage empty; columns beyond those of the documents
+table go along unchanged until the last stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.llm import exact_dedup, packing, private_terms, quality_rules, simhash
-from sheafmill.llm.common import only
 from sheafmill.session import materialise
 
 
@@ -24,20 +25,38 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, quality_rules.fit(docs, labels))
 
 
+ROW, GROUP = "_pipeline_row", "_pipeline_group"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with a number for each row, written: a second scan may cut the files differently."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def as_documents(rows: DataFrame) -> DataFrame:
+    """Rows for an operator, their number in place of the id."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def one_of_each(rows: DataFrame, groups: DataFrame, *order: Column) -> DataFrame:
+    """The first row of each group by `order`, then id, then number; `groups` has ROW and GROUP."""
+    facts = rows.select(F.col(ROW), F.struct(*order, F.col("doc_id").isNull(), "doc_id", ROW).alias("place"))
+    best = facts.join(groups, ROW).groupBy(GROUP).agg(F.min("place").alias("place"))
+    kept = materialise(best.select(F.col(f"place.{ROW}").alias(ROW)), "pipeline-kept")
+    return rows.join(kept, ROW, "left_semi").drop(ROW)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = materialise(exact_dedup.exact_dedup(docs).filter("kept").select("doc_id"), "exact-kept")
-    repeated = materialise(kept.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
-    rows = only(docs, kept)
-    if repeated.isEmpty():
-        return rows
-    again = repeated.select(F.col("doc_id").alias("_again"))
-    once = rows.join(again, rows["doc_id"].eqNullSafe(again["_again"]), "left_anti")
-    return once.unionByName(only(rows, repeated).dropDuplicates(["doc_id"]))
+    rows = numbered(docs)
+    groups = exact_dedup.exact_dedup(as_documents(rows))
+    own = groups.select(F.col("doc_id").alias(ROW), F.col("text_sha256").alias(GROUP))
+    return one_of_each(rows, own, -F.char_length(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs)
-    return only(docs, groups.filter("doc_id <=> component_id").select("doc_id").distinct())
+    rows = numbered(docs)
+    groups = simhash.near_duplicates(as_documents(rows))
+    return one_of_each(rows, groups.select(F.col("doc_id").alias(ROW), F.col("component_id").alias(GROUP)))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
