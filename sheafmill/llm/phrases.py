@@ -9,7 +9,7 @@ lets those grow in turn, up to the greatest length. That closes the border: both
 phrase are frequent, so they were proposed, or failed and joined, or were let in by the expansion, and in
 each case the phrase was counted. The result does not depend on the sample.
 
-Proposals reach the tasks as a bitmap of fixed size over 64-bit hashes. A collision lets a phrase be counted
+Proposals reach the tasks as a bitmap over 64-bit hashes, sized by their number up to a fixed bound. A collision lets a phrase be counted
 that need not be, never the reverse, and counts are kept by the phrase itself, so results do not depend
 on hashes. Within a task phrases are numbered exactly, level by level, and summed before the shuffle.
 
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from itertools import count as numbers_from
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -37,10 +36,10 @@ from sheafmill.llm.common import as_bytes, materialise, parts
 FREQUENT, LONGEST, REPORTED = 100, 5, 2000
 #: One of so many texts is in the sample; the share of the expected count that is enough there.
 SAMPLE, LOWERED = 16, 0.4
-#: Bits of the map of proposals: 16 MB.
-MAP_BITS = 27
+#: Least and greatest size of the map of proposals, as powers of two: 16 MB at most.
+MAP_BITS = 20, 27
 #: Text that is numbered together.
-CHUNK = 3 << 20
+CHUNK = 3 << 19
 #: Separators become a full stop, tabs spaces, A-Z lower case.
 _PIECES = bytes(
     46 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)
@@ -55,15 +54,22 @@ def _follow(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> _FOLD)) * _STEP
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-
-
 def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _bits(hashes)
+    at = (hashes >> np.uint64(64 - _power(bitmap))).astype(np.int64)
     return (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
+def _power(bitmap: np.ndarray) -> int:
+    """Which power of two the number of bits is."""
+    return len(bitmap).bit_length() + 5
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each value among the distinct ones, and those."""
+    distinct, codes = np.unique(values, return_inverse=True)
+    return codes, distinct
+
+
 class Chunk:
     """Texts of one language as word numbers, 0 between pieces."""
 
@@ -94,7 +100,7 @@ class Chunk:
         for n in range(1, LONGEST):
             if n > 1:
                 now, inside = _follow(now[:-1], word[n - 1 :]), inside[:-1] & (self.tokens[n - 1 :] != 0)
-            codes, distinct = pd.factorize(now[inside])
+            codes, distinct = _numbered(now[inside])
             yield distinct, np.bincount(codes, minlength=len(distinct))
 
     def counted(self, proposed: np.ndarray, before: np.ndarray | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
@@ -117,7 +123,7 @@ class Chunk:
             at = np.flatnonzero(both)
             if not len(at):
                 return
-            codes, distinct = pd.factorize(number[at] * size + tokens[at + n - 1])
+            codes, distinct = _numbered(number[at] * size + tokens[at + n - 1])
             first = np.empty(len(distinct), np.int64)
             first[codes[::-1]] = at[::-1]
             times = np.bincount(codes, minlength=len(distinct))
@@ -159,13 +165,14 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     yield from (Chunk(lang, pieces) for lang, pieces in waiting.items())
 
 
-def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """The map with the bits of a table of hashes set; at most 2**(MAP_BITS - 6) numbers reach the driver."""
-    bit = F.shiftrightunsigned("hash", 64 - MAP_BITS)
-    own = hashes.select(F.shiftright(bit, 6).cast("int").alias("at"), F.expr(
-        f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - MAP_BITS}) & 63 AS INT))").alias("mask"))
+def _bitmap(hashes: DataFrame, power: int) -> np.ndarray:
+    """The map with the bits of a table of hashes set; at most 2**(power - 6) numbers reach the driver."""
+    bit = F.shiftrightunsigned("hash", 64 - power)
+    own = hashes.select(
+        F.shiftright(bit, 6).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - power}) & 63 AS INT))").alias("mask")
+    )
     made = own.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out = np.zeros(1 << (power - 6), np.uint64)
     out[made["at"].to_numpy()] = made["mask"].to_numpy().view(np.uint64)
     return out
 
@@ -179,7 +186,9 @@ def propose(rows: DataFrame, least: float) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(times)], ["hash", "n"])
 
     counted = rows.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    return _bitmap(counted.filter(F.col("n") >= least).select("hash"))
+    hashes = materialise(counted.filter(F.col("n") >= least).select("hash"), "phrases-proposed")
+    low, high = MAP_BITS
+    return _bitmap(hashes, min(max(low, (16 * hashes.count()).bit_length()), high))
 
 
 def count(rows: DataFrame, proposed: np.ndarray, before: np.ndarray | None, least: int) -> DataFrame:
@@ -236,7 +245,7 @@ def frequent_phrases(docs: DataFrame, least: int = FREQUENT, sample: int = SAMPL
     drawn = rows.filter(F.pmod(F.xxhash64("lang", "text"), F.lit(sample)) == 0)
     proposed = propose(drawn, max(2.0, least * LOWERED / sample))
     counted = count(rows, proposed, None, least)
-    failed = _bitmap(failures(counted, proposed))
+    failed = _bitmap(failures(counted, proposed), _power(proposed))
     if not failed.any():
         return counted, 1
     return counted.unionByName(count(rows, proposed | failed, proposed, least)), 2
