@@ -56,6 +56,61 @@ def submissions_scan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# One file per source: the first source's is cut, the second's is in capitals and unmarked, the last's not on the list.
+_DUMPED_SQL = f"""{POSTS_SQL}, names AS (
+      SELECT subreddit, row_number() OVER (ORDER BY subreddit) AS k, count(*) OVER () AS n
+      FROM (SELECT DISTINCT subreddit FROM posts)),
+    dumped AS (SELECT posts.*, k, n FROM posts JOIN names USING (subreddit))"""
+
+
+def _dumped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Posts and report of a folder of compressed dumps, one of them cut, one renamed, one not listed."""
+    folder = scratch_path(spark, "dumps")
+    own = posts(spark, d)
+    names = sorted(r[0] for r in own.select("subreddit").distinct().collect())  # one row per dump file
+    renamed, unlisted = names[1], names[-1]
+    name = F.when(F.col("subreddit") == renamed, F.concat(F.upper("subreddit"), F.lit(".zst"))).otherwise(
+        F.concat("subreddit", F.lit("_submissions.zst"))
+    )
+    value = F.to_json(F.struct("title", "selftext", "subreddit"))
+    # every third line ends with CR and LF, every third file line is followed by a broken one
+    ended = F.when(F.col("doc_id") % 3 == 0, F.concat(value, F.lit("\r"))).otherwise(value)
+    broken = F.when(F.col("doc_id") % 3 == 1, F.concat(ended, F.lit("\n{\"title\": "))).otherwise(ended)
+    submissions.write_dumps(own.select(name.alias("file_name"), F.col("doc_id").alias("line_no"), broken.alias("value")), folder)
+    files, inner = submissions._filesystem(f"{folder}/{names[0]}_submissions.zst")
+    whole = files.get_file_info(inner).size
+    with files.open_input_stream(inner, compression=None) as source:
+        head = source.read(whole - 8)
+    with files.open_output_stream(inner, compression=None) as sink:
+        sink.write(head)
+    return submissions.ingest(spark, folder, [n for n in names if n != unlisted])
+
+
+@query(
+    "dump_posts",
+    f"""WITH {_DUMPED_SQL} SELECT md5(coalesce(title, '')) AS title_digest, md5(coalesce(selftext, '')) AS body_digest,
+    subreddit FROM dumped WHERE k BETWEEN 2 AND n - 1
+      AND (trim(coalesce(title, '')) <> '' OR trim(coalesce(selftext, '')) <> '')""",
+)
+def dump_posts(spark: SparkSession, d: str) -> DataFrame:
+    found, _ = _dumped(spark, d)
+    return found.select(
+        F.md5(F.col("title").cast("binary")).alias("title_digest"),
+        F.md5(F.col("selftext").cast("binary")).alias("body_digest"), "subreddit",
+    )
+
+
+@query(
+    "dump_report",
+    f"""WITH {_DUMPED_SQL}, files AS (SELECT subreddit AS source, k, n FROM dumped GROUP BY ALL)
+    SELECT source, k < n AS is_listed, CASE WHEN k < n THEN k > 1 END AS is_readable,
+      CASE WHEN k = 1 THEN 'EOFError: the last frame is cut off' END AS error FROM files""",
+)
+def dump_report(spark: SparkSession, d: str) -> DataFrame:
+    _, report = _dumped(spark, d)
+    return report.select("source", "is_listed", "is_readable", "error")
+
+
 @query(
     "posts_csv",
     f"""WITH {POSTS_SQL} SELECT md5(coalesce(title, '')) AS title_digest, md5(coalesce(selftext, '')) AS body_digest,

@@ -425,3 +425,36 @@ def bpb_ratio(spark: SparkSession, d: str) -> DataFrame:
     size = F.when(F.col("p_partkey") % 97 == 0, 0).otherwise(F.col("p_partkey") % 5 + 1)
     tokens = table(spark, d, "part").select(F.col("p_partkey").alias("token_id"), size.alias("nbytes"))
     return rounded(sequence.bits_per_byte(losses, tokens), "total_nats", "bpb")
+
+
+@lru_cache(maxsize=4)
+def _full(app: str, sf_dir: str) -> tk.Vocabulary:
+    return tk.train_bpe(documents(SparkSession.active(), sf_dir), fixed.VOCAB_SIZE)
+
+
+def full_vocabulary(spark: SparkSession, d: str) -> tk.Vocabulary:
+    """The vocabulary at its real size, trained on all documents, once per application and folder."""
+    return _full(spark.sparkContext.applicationId, d)
+
+
+@query("full_vocabulary")
+def full_merges(spark: SparkSession, d: str) -> DataFrame:
+    """All merges of the full vocabulary; a walk in SQL would take hours, so tests walk a smaller corpus."""
+    trained = full_vocabulary(spark, d)
+    return trained.merges_frame(spark).select("rank", F.hex("left").alias("left"), F.hex("right").alias("right"))
+
+
+@query("full_token_profile")
+def full_token_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Token lengths of all documents under the full vocabulary."""
+    encoded = tk.encode(documents(spark, d), full_vocabulary(spark, d))
+    whole = profile.length_profile(encoded.select(F.size("tokens").cast("long").alias("n")), F.col("n"))
+    return rounded(whole, *_PROFILE_FLOATS, places=4)
+
+
+@query("full_context_fit")
+def full_context_fit(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of documents that fit context lengths under the full vocabulary."""
+    encoded = tk.encode(documents(spark, d), full_vocabulary(spark, d))
+    sized = encoded.select(F.size("tokens").cast("long").alias("n"))
+    return rounded(profile.context_fit(sized, F.col("n")), "share")

@@ -17,16 +17,11 @@ from pyspark.sql import types as T
 from sheafmill import fixed
 from sheafmill.functions import text as tx
 from sheafmill.functions.text import col
+from sheafmill.operators import merges
 from sheafmill.operators.bpe import PairTable, merge_pieces
 from sheafmill.operators.ordered import budget_prefix
 from sheafmill.session import materialise
 
-# Ranked pairs looked at per training round, and rounds between two written word tables.
-CANDIDATES = 256
-ROUNDS_PER_TABLE = 24
-# Symbols are packed three to a number: 21 bits each.
-_LOW = (1 << 21) - 1
-
 VOCAB_SCHEMA = T.StructType(
     [
         T.StructField("token_id", T.IntegerType()),
@@ -163,167 +158,17 @@ def training_corpus(
 
 # --- training ---
 
-_WORDS = T.StructType(
-    [
-        T.StructField("symbols", T.ArrayType(T.IntegerType(), False)),
-        T.StructField("n", T.LongType()),
-    ]
-)
-
-
-def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All symbols of a batch in a row, and the word each belongs to."""
-    sizes = np.diff(lists.offsets.to_numpy())
-    return lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(lists)), sizes)
-
-
-def _after(batch: pa.RecordBatch, table: PairTable | None) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of a batch of words after the given merges, and the word each belongs to."""
-    symbols, word = _flat(batch.column(0))
-    if table is None:
-        return symbols, word
-    return merge_pieces(symbols, word, table, one_by_one=False)
-
-
-def _table(pairs: list[tuple[int, int, int, int]]) -> PairTable | None:
-    return PairTable.of(pairs) if pairs else None
-
-
-def _merged(words: DataFrame, pairs: list[tuple[int, int, int, int]]) -> DataFrame:
-    """Words after the given merges."""
-    table = _table(pairs)
-
-    def run(batches):
-        for batch in batches:
-            symbols, word = _after(batch, table)
-            offsets = np.searchsorted(word, np.arange(batch.num_rows + 1)).astype(np.int32)
-            merged = pa.ListArray.from_arrays(pa.array(offsets), pa.array(symbols))
-            yield pa.RecordBatch.from_arrays([merged, batch.column(1)], ["symbols", "n"])
-
-    return words.mapInArrow(run, _WORDS)
-
-
-def _contexts(words: DataFrame, pairs: list[tuple[int, int, int, int]]) -> DataFrame:
-    """Counts of neighbour pairs (a, b) after the given merges with the symbol c behind them, or -1.
-
-    Counts are per Arrow batch, for the aggregation that follows.
-    """
-    table = _table(pairs)
-
-    def run(batches):
-        for batch in batches:
-            symbols, word = _after(batch, table)
-            joined = np.append(word[:-1] == word[1:], False)[: len(word)]
-            behind = np.where(np.append(joined[1:], False), np.append(symbols[2:], (-1, -1))[: len(symbols)], -1)
-            at = np.flatnonzero(joined)
-            spelled = np.stack([symbols[at], symbols[at + 1], behind[at]]).astype(np.int64)
-            code = (spelled[0] << 42) | (spelled[1] << 21) | (spelled[2] + 1)
-            distinct, which = np.unique(code, return_inverse=True)
-            counts = batch.column(1).to_numpy(zero_copy_only=False)[word[at]]
-            # A weighted bincount adds in doubles: exact up to 2**53 occurrences in a batch.
-            n = np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.int64)
-            a, b = distinct >> 42, (distinct >> 21) & _LOW
-            columns = [x.astype(np.int32) for x in (a, b, (distinct & _LOW) - 1)] + [n]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "c", "n"])
-
-    return words.mapInArrow(run, "a int, b int, c int, n long")
-
-
-def _ranked_pairs(contexts: DataFrame, tokens: list[bytes], limit: int) -> DataFrame:
-    """The most frequent neighbour pairs with their commonest context on either side.
-
-    A context is packed as count * 2**21 + symbol, so that its maximum is a plain number.
-    """
-    triples = contexts.groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
-    none = F.lit(0).cast("long")
-    scaled = F.shiftleft("n", 21)
-    as_pair = F.struct(
-        F.col("a").alias("l"), F.col("b").alias("r"), F.col("n").alias("n"), none.alias("before"),
-        F.when(F.col("c") >= 0, scaled + F.col("c")).otherwise(none).alias("behind"),
-    )
-    as_tail = F.struct(
-        F.col("b").alias("l"), F.col("c").alias("r"), none.alias("n"), (scaled + F.col("a")).alias("before"),
-        none.alias("behind"),
-    )
-    pairs = (
-        triples.select(F.inline(F.array(as_pair, as_tail)))
-        .where(F.col("r") >= 0)
-        .groupBy("l", "r")
-        .agg(F.sum("n").alias("n"), F.max("before").alias("before"), F.max("behind").alias("behind"))
-    )
-    # Lower-case hex sorts like the bytes it spells.
-    spelled = _spelling(tokens)
-    left, right = F.get(spelled, F.col("l")), F.get(spelled, F.col("r"))
-    return pairs.orderBy(F.col("n").desc(), left, right).limit(limit)
-
-
-def _spelling(tokens: list[bytes]) -> Column:
-    """All tokens in hex as one constant array, so that looking one up needs no join."""
-    return F.split(F.lit(" ".join(t.hex() for t in tokens)), " ")
-
-
-def _certain_merges(
-    ranked: list, room: int, tokens: list[bytes], known: dict[bytes, int]
-) -> list[tuple[int, int, bytes, bytes]]:
-    """Merges that one-by-one training would also choose next, in this order.
-
-    Chosen pairs share no symbol, so each of them keeps its count until its turn and every one of
-    its occurrences is merged. The next pair is certain while its count is above everything that
-    earlier merges may have changed, the `ceiling`:
-
-    * a pair they create occurs at most as often as the context it comes from;
-    * a pair that shares a symbol with them keeps at most its count, less the occurrences inside
-      their commonest context, which are used up.
-
-    A merge that spells a known token ends the batch, for it gives no new symbol.
-    """
-    chosen, used, ceiling = [], set(), 0
-    used_up: dict[tuple[int, int], int] = {}
-    for pair in ranked:
-        left, right, n = pair["l"], pair["r"], pair["n"]
-        if chosen and (n <= ceiling or len(chosen) == room):
-            break
-        if left in used or right in used:
-            ceiling = max(ceiling, n - used_up.get((left, right), 0))
-            continue
-        spelled = tokens[left] + tokens[right]
-        if chosen and spelled in known:
-            break
-        chosen.append((left, right, tokens[left], tokens[right]))
-        if spelled in known:
-            break
-        used |= {left, right}
-        for context, neighbour in (
-            (pair["before"], lambda symbol: (symbol, left)),
-            (pair["behind"], lambda symbol: (right, symbol)),
-        ):
-            count, symbol = context >> 21, context & _LOW
-            ceiling = max(ceiling, count)
-            if left != right and count:
-                touched = neighbour(symbol)
-                used_up[touched] = max(used_up.get(touched, 0), count)
-    return chosen
-
-
 def train_bpe(
     docs: DataFrame,
     vocab_size: int = fixed.VOCAB_SIZE,
     specials: tuple[str, ...] = fixed.SPECIAL_TOKENS,
-    candidates: int = CANDIDATES,
 ) -> Vocabulary:
     """Learn merges from the `text` column until `vocab_size` tokens exist or no pair is left.
 
-    The corpus is scanned once, for its pre-token counts. Each round then counts neighbour pairs
-    over the distinct pre-tokens and takes as many of the top-ranked merges as are certain not to
-    influence each other. Rank: count, then left bytes, then right bytes. The merged words are
-    written every few rounds, so that plans stay short and lost executors cost little.
+    The corpus is scanned once, for its pre-token counts; rounds then run over the distinct pre-tokens. Rank:
+    count, then left bytes, then right bytes.
     """
     vocab = Vocabulary([bytes([b]) for b in range(256)], [], specials)
-    known = {t: i for i, t in enumerate(vocab.tokens)}
-    target = vocab_size - len(specials)
-    if target >= _LOW:
-        raise ValueError(f"vocab_size must stay below {_LOW}")
-
     # Every round reads this table, so it is spread over all cores once.
     cores = docs.sparkSession.sparkContext.defaultParallelism
     counts = piece_counts(docs).select(F.encode("piece", "UTF-8").alias("piece"), "n")
@@ -337,29 +182,19 @@ def train_bpe(
             symbols = pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(raw.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([symbols, batch.column(1)], ["symbols", "n"])
 
-    words = materialise(counts.mapInArrow(to_bytes, _WORDS), "words")
-    pending: list[tuple[int, int, int, int]] = []
-    rounds = 0
-    while len(vocab.tokens) < target:
-        ranked = _ranked_pairs(_contexts(words, pending), vocab.tokens, candidates).collect()
-        chosen = _certain_merges(ranked, target - len(vocab.tokens), vocab.tokens, known)
-        if not chosen:
-            break
-        for left_id, right_id, left, right in chosen:
-            result = known.setdefault(left + right, len(vocab.tokens))
-            if result == len(vocab.tokens):
-                vocab.tokens.append(left + right)
-            pending.append((left_id, right_id, len(vocab.merges), result))
-            vocab.merges.append((left, right))
-        rounds += 1
-        if rounds % ROUNDS_PER_TABLE == 0:
-            words, pending = materialise(_merged(words, pending), "words"), []
+    words = materialise(counts.mapInArrow(to_bytes, merges.WORDS), "words")
+    vocab.merges, _ = merges.learn(words, vocab.tokens, vocab_size - len(specials))
     return vocab
 
 
 # --- encoding and decoding ---
 
 
+def _spelling(tokens: list[bytes]) -> Column:
+    """All tokens in hex as one constant array, so that looking one up needs no join."""
+    return F.split(F.lit(" ".join(t.hex() for t in tokens)), " ")
+
+
 def encoder(vocab: Vocabulary):
     """A column function from pre-token arrays to token ids.
 

@@ -10,17 +10,16 @@ from pyspark.sql import types as T
 
 from sheafmill import fixed
 from sheafmill.functions import text as tx
+from sheafmill.session import materialise
 
 _POSTS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("title", "selftext", "subreddit")]))
 # What from_json makes of values that are no strings: numbers, booleans, arrays, objects, bare NaN.
 _OTHER_VALUE = r'^(-?[0-9]|true$|false$|\[|\{|"([+-]?(INF|Infinity)|NaN)"$)'
-# Largest zstd window, as a power of two, that Spark's own reader opens.
-NATIVE_WINDOW = 27
 # Largest window the streaming decoder opens.
 MAX_WINDOW = 31
 _BLOCK = 1 << 20
 
-_REPORT = "src_file string, source string, window_log int, n_bytes long, is_readable boolean, error string"
+_STAGED = "src_file string, src_line long, value string, window_log int, n_bytes long, is_whole boolean, error string"
 
 
 def source_name(file_name: Column) -> Column:
@@ -74,60 +73,114 @@ def parse_submissions(lines: DataFrame, line: str = "value") -> DataFrame:
     return posts.where((tx.strip("title") != "") | (tx.strip("selftext") != ""))
 
 
-def _open_blocks(path: str, decompress: bool) -> Iterator[bytes]:
-    """The bytes of a file in blocks, wherever an Arrow filesystem can reach it."""
+def _filesystem(path: str):
+    """The Arrow filesystem of a path or URI, and the path in it."""
     import pyarrow.fs as pafs
-    import zstandard
 
     if "://" not in path and path.startswith("file:"):
         path = path.removeprefix("file:")
-    filesystem, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    return pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+
+
+def _blocks(path: str) -> Iterator[tuple[int, bytes]]:
+    """The window (as a power of two) and the bytes of a file, block by block; an error if its last frame is cut."""
+    import zstandard
+
+    filesystem, inner = _filesystem(path)
     with filesystem.open_input_stream(inner, compression=None) as raw:
-        if not decompress:
-            yield raw.read(64)
-            return
         frames = zstandard.ZstdDecompressor(max_window_size=1 << MAX_WINDOW)
-        frame = None
+        frame, window = None, None
         while block := raw.read(_BLOCK >> 4):
+            if window is None:
+                window = max(zstandard.get_frame_parameters(block).window_size - 1, 1).bit_length()
             while block:
                 frame = frame or frames.decompressobj()
                 if text := frame.decompress(block):
-                    yield text
+                    yield window, text
                 block = b""
                 if frame.eof:
                     block, frame = frame.unused_data, None
         if frame is not None:
             raise EOFError("the last frame is cut off")
+        if window is None:
+            raise EOFError("the file is empty")
 
 
-def _window_log(path: str) -> int:
-    import zstandard
+def stage(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every file decoded once: its lines, and behind them one row that tells how it ended, written.
 
-    head = b"".join(_open_blocks(path, decompress=False))
-    size = zstandard.get_frame_parameters(head).window_size
-    return max(size - 1, 1).bit_length()
+    A task has one file and its rows are committed together, so the last row admits or bars exactly the
+    lines of the same attempt. Lines end at LF, CR or both. A row without `is_whole` is a line.
+    """
+    import pyarrow as pa
+
+    fields = [("src_file", pa.string()), ("src_line", pa.int64()), ("value", pa.string()), ("window_log", pa.int32()),
+              ("n_bytes", pa.int64()), ("is_whole", pa.bool_()), ("error", pa.string())]
+    schema = pa.schema(fields)
+
+    def decode(path: str) -> Iterator[pa.RecordBatch]:
+        number, size, window, error, held, rest = 0, 0, None, None, [], b""
+
+        def lines() -> pa.RecordBatch:
+            nonlocal number, held
+            found, held = held, []
+            first, number = number, number + len(found)
+            own = {"src_file": [path] * len(found), "src_line": list(range(first, number)), "value": found}
+            return pa.RecordBatch.from_pydict(own | {n: [None] * len(found) for n, _ in fields[3:]}, schema)
+
+        try:
+            waiting = 0
+            for window, block in _blocks(path):
+                size += len(block)
+                waiting += len(block)
+                *whole, rest = (rest + block).replace(b"\r\n", b"\n").split(b"\n")
+                for line in whole:
+                    held += line.decode("utf-8", "replace").split("\r")
+                if waiting >= _BLOCK:
+                    yield lines()
+                    waiting = 0
+            held += rest.decode("utf-8", "replace").split("\r")
+        except Exception as e:  # noqa: BLE001 - any failure bars the file, and none but this one
+            error = f"{type(e).__name__}: {e}"
+        yield lines()
+        end = (path, None, None, window, size, error is None, error)
+        yield pa.RecordBatch.from_pydict({n: [v] for (n, _), v in zip(fields, end)}, schema)
+
+    def run(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                yield from decode(path)
 
+    listed = spark.createDataFrame([(p,) for p in paths], "src_file string")
+    return materialise(listed.repartition(max(1, len(paths))).mapInArrow(run, _STAGED), "dump-lines")
 
-def probe(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Decode each file once, keeping nothing, to learn which ones can be read to the end."""
-    import pandas as pd
 
-    def check(batches):
-        for batch in batches:
-            for path, source in zip(batch["src_file"], batch["source"]):
-                window, size, error = None, 0, None
-                try:
-                    window = _window_log(path)
-                    for block in _open_blocks(path, decompress=True):
-                        size += len(block)
-                except Exception as e:  # noqa: BLE001 - any failure makes the file unreadable
-                    error = f"{type(e).__name__}: {e}"
-                row = (path, source, window, size, error is None, error)
-                yield pd.DataFrame([row], columns=["src_file", "source", "window_log", "n_bytes", "is_readable", "error"])
+def write_dumps(lines: DataFrame, folder: str) -> None:
+    """Compressed dump files from rows of (file_name, line_no, value), lines in order of their number.
 
-    listed = spark.createDataFrame([(p,) for p in paths], "src_file string")
-    one_task_each = listed.repartition(max(1, len(paths)), "src_file")
-    return one_task_each.withColumn("source", source_name(F.col("src_file"))).mapInPandas(check, _REPORT)
+    A file is written by one task as a stream, whatever its length.
+    """
+
+    def run(batches):
+        import zstandard
+
+        name, sink = None, None
+        for batch in batches:
+            for file_name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if file_name != name:
+                    if sink is not None:
+                        sink.close()
+                    filesystem, inner = _filesystem(f"{folder}/{file_name}")
+                    filesystem.create_dir(inner.rsplit("/", 1)[0])
+                    raw = filesystem.open_output_stream(inner, compression=None)
+                    name, sink = file_name, zstandard.ZstdCompressor().stream_writer(raw)
+                sink.write(value.encode() + b"\n")
+        if sink is not None:
+            sink.close()
+        yield from ()
+
+    placed = lines.repartition("file_name").sortWithinPartitions("file_name", "line_no")
+    placed.select("file_name", "value").mapInArrow(run, "done boolean").write.format("noop").mode("overwrite").save()
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -140,63 +193,23 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def read_long_window_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The same for files whose zstd window is too long for Spark's reader: one task per file."""
-    import pandas as pd
-
-    def lines_of(path: str) -> Iterator[bytes]:
-        rest = b""
-        for block in _open_blocks(path, decompress=True):
-            *whole, rest = (rest + block).split(b"\n")
-            yield from whole
-        if rest:
-            yield rest
-
-    def decode(batches):
-        for batch in batches:
-            for path in batch["src_file"]:
-                held, size, first = [], 0, 0
-                for line in lines_of(path):
-                    held.append(line.decode("utf-8", "replace"))
-                    size += len(line)
-                    if size >= _BLOCK:
-                        yield pd.DataFrame({"value": held, "src_file": path, "src_block": 0, "src_line": range(first, first + len(held))})
-                        first, held, size = first + len(held), [], 0
-                if held:
-                    yield pd.DataFrame({"value": held, "src_file": path, "src_block": 0, "src_line": range(first, first + len(held))})
-
-    listed = spark.createDataFrame([(p,) for p in paths], "src_file string")
-    return listed.repartition(max(1, len(paths)), "src_file").mapInPandas(
-        decode, "value string, src_file string, src_block long, src_line long"
-    )
-
-
 def ingest(
     spark: SparkSession, folder: str, sources: Iterable[str] = fixed.SOURCES
 ) -> tuple[DataFrame, DataFrame]:
     """Posts of all listed, readable dump files, and a report with one row per file.
 
-    A file that cannot be decoded to its end gives no posts at all; the others are unaffected.
+    A file that cannot be decoded to its end gives no posts at all; the others are unaffected. Each file is
+    decoded once.
     """
     found = discover(spark, folder, sources)
     # One row per dump file, from a directory listing the driver has already made.
     listed = [r["src_file"] for r in found.where("is_listed").select("src_file").collect()]
-    checked = spark.createDataFrame(probe(spark, listed).collect(), _REPORT) if listed else None
-    nothing = spark.createDataFrame([], "value string, src_file string, src_block long, src_line long")
-    lines = nothing
-    if checked is None:
-        report = found.selectExpr(
-            "src_file", "source", "is_listed", "CAST(NULL AS INT) AS window_log",
-            "CAST(NULL AS LONG) AS n_bytes", "CAST(NULL AS BOOLEAN) AS is_readable", "CAST(NULL AS STRING) AS error",
-        )
-    else:
-        report = found.drop("file_bytes").join(F.broadcast(checked.drop("source")), "src_file", "left")
-        readable = checked.where("is_readable").collect()
-        native = [r["src_file"] for r in readable if r["window_log"] <= NATIVE_WINDOW]
-        long_window = [r["src_file"] for r in readable if r["window_log"] > NATIVE_WINDOW]
-        if native:
-            lines = lines.unionByName(read_lines(spark, native))
-        if long_window:
-            lines = lines.unionByName(read_long_window_lines(spark, long_window))
-    posts = parse_submissions(lines)
-    return posts.select("title", "selftext", "subreddit", "src_file", "src_block", "src_line"), report
+    staged = stage(spark, listed) if listed else spark.createDataFrame([], _STAGED)
+    ends = staged.where("is_whole IS NOT NULL").select(
+        "src_file", "window_log", "n_bytes", F.col("is_whole").alias("is_readable"), "error"
+    )
+    report = found.drop("file_bytes").join(F.broadcast(ends), "src_file", "left")  # one row per file
+    admitted = ends.where("is_readable").select("src_file")
+    lines = staged.where("is_whole IS NULL").select("src_file", "src_line", "value")
+    posts = parse_submissions(lines.join(F.broadcast(admitted), "src_file", "left_semi"))
+    return posts.select("title", "selftext", "subreddit", "src_file", F.lit(0).cast("long").alias("src_block"), "src_line"), report

@@ -266,3 +266,60 @@ def test_packing_of_equal_lengths_takes_few_jobs(spark, chunk_rows, fan, monkeyp
     table = spark.createDataFrame([(k, 70) for k in range(60)], "pos long, n long")
     got = sorted(r.documents for r in sequence.packed_rows(table, 200, chunk_rows=chunk_rows).collect())
     assert got == [2] * 30
+
+
+@pytest.mark.parametrize("sample, fewest, per_table", [(0, 3, 5), (7, 16, 512), (50_000, 16, 512)])
+def test_training_does_not_depend_on_what_is_foreseen(spark, corpus_texts, monkeypatch, sample, fewest, per_table):
+    """Poor guesses cost rounds, never a merge."""
+    from sheafmill.operators import merges
+
+    texts = corpus_texts[:40] + ["aaaa aaa aaaaa abab ababab", "aab aab aab baab"]
+    want = tk.train_bpe(docs(spark, texts), 256 + 45 + 4).merges
+    for name, value in (("SAMPLE", sample), ("FEWEST", fewest), ("PER_TABLE", per_table)):
+        monkeypatch.setattr(merges, name, value)
+    assert tk.train_bpe(docs(spark, texts), 256 + 45 + 4).merges == want
+
+
+def test_differences_touch_only_words_that_hold_a_merge(spark):
+    from sheafmill.operators import merges
+
+    words = spark.createDataFrame([([1, 2, 3], 5), ([2, 3, 2, 3], 2), ([4, 4, 4], 7), ([9, 9], 1)], merges.WORDS)
+    got = {(r.step, r.pair >> 32, r.pair & 0xFFFFFFFF): r.n for r in merges.differences(words, [], [(2, 3, 10), (4, 4, 11), (1, 10, 12)]).collect()}
+    assert got == {
+        (0, 1, 2): -5, (0, 2, 3): -9, (0, 3, 2): -2, (0, 1, 10): 5, (0, 10, 10): 2,
+        (1, 4, 4): -14, (1, 11, 4): 7, (2, 1, 10): -5,
+    }
+    assert {tuple(r.symbols) for r in merges.rewritten(words, [(2, 3, 10), (10, 10, 11)]).collect()} == {
+        (1, 10), (11,), (4, 4, 4), (9, 9)
+    }
+
+
+def test_long_training_takes_many_merges_a_round(spark, monkeypatch):
+    """A thousand merges equal the walk on plain words, in far fewer rounds than merges."""
+    from sheafmill.operators import merges
+
+    rng = random.Random(4)
+    syllables = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 2))) for _ in range(60)]
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(400)) for _ in range(20)]
+    rounds, differences = [], merges.differences
+    monkeypatch.setattr(merges, "differences", lambda *a: rounds.append(1) or differences(*a))
+    vocab = tk.train_bpe(docs(spark, texts), 256 + 300 + 4)
+    counts = Counter(p for t in texts for p in regex.findall(fixed.SPLIT_PATTERN, t))
+    words, slow = {tuple(bytes([b]) for b in p.encode()): n for p, n in counts.items()}, []
+    for _ in range(300):
+        pairs = Counter()
+        for w, n in words.items():
+            for pair in zip(w, w[1:]):
+                pairs[pair] += n
+        left, right = min(pairs, key=lambda p: (-pairs[p], p))
+        slow.append((left, right))
+        merged = Counter()
+        for w, n in words.items():
+            out, k = [], 0
+            while k < len(w):
+                both = w[k : k + 2] == (left, right)
+                out.append(left + right if both else w[k])
+                k += 1 + both
+            merged[tuple(out)] += n
+        words = merged
+    assert vocab.merges[:300] == slow and len(rounds) < 60
