@@ -202,15 +202,19 @@ def count(rows: DataFrame, proposed: np.ndarray, before: np.ndarray | None, leas
             found = chunk.counted(bitmap, done)
             if done is None:
                 found = [(0, pa.array([b""]), np.array([chunk.n_words()])), *found]
-            for n, phrases, times in found:
-                alike = [pa.array([v], k).take(pa.array(np.zeros(len(times), np.int8))) for v, k in ((chunk.lang, pa.string()), (n, pa.int32()))]
-                yield pa.RecordBatch.from_arrays(
-                    [*alike, phrases.cast(pa.string()), pa.array(times.astype(np.int64))], ["lang", "size", "phrase", "f"]
-                )
-
-    made = rows.mapInArrow(run, "lang string, size int, phrase string, f long")
-    summed = made.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-    return materialise(summed.filter((F.col("f") >= least) | (F.col("size") == 0)), "phrases-counted")
+            head = pa.scalar(chunk.lang.encode(), pa.binary())
+            for _, phrases, times in found:
+                keys = pc.binary_join_element_wise(head, phrases.cast(pa.binary()), pa.scalar(b"\t", pa.binary()))
+                yield pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(times.astype(np.int64))], ["key", "f"])
+
+    # language and phrase travel as one short text; a phrase holds no tab
+    summed = rows.mapInArrow(run, "key string, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    split = summed.filter((F.col("f") >= least) | F.col("key").endswith("\t")).selectExpr(
+        "left(key, char_length(key) - char_length(substring_index(key, '\t', -1)) - 1) AS lang",
+        "substring_index(key, '\t', -1) AS phrase", "f",
+    )
+    size = F.expr("IF(phrase = '', 0, char_length(phrase) - char_length(replace(phrase, ' ', '')) + 1)")
+    return materialise(split.select("lang", size.alias("size"), "phrase", "f"), "phrases-counted")
 
 
 def failures(frequent: DataFrame, proposed: np.ndarray) -> DataFrame:
