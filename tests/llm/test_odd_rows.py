@@ -92,7 +92,12 @@ def test_places_keep_clashing_columns(odd_clashing, odd):
     assert plain(placed.select("doc_id", "_slot", "_shard").toDF("doc_id", "slot", "shard")) == plain(own.select("doc_id", "slot", "shard"))
 
 
-def test_dedup_stages_go_by_rows_not_ids(spark, sf_dir):
+def written(df, tmp_path):
+    df.repartition(3).write.parquet(str(tmp_path / "docs"))
+    return str(tmp_path / "docs")
+
+
+def test_dedup_stages_go_by_rows_not_ids(spark, sf_dir, tmp_path):
     """Rows that share or lack an id stay and go by their texts alone."""
     rows = [
         (None, "alpha"), (None, "beta"), (7, "gamma"), (7, "delta"), (1, "alpha"), (5, "alpha"), (5, "beta longer"),
@@ -102,6 +107,9 @@ def test_dedup_stages_go_by_rows_not_ids(spark, sf_dir):
     out = corpus_pipeline.exact(spark, docs, sf_dir)
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(
         [(1, "alpha"), (3, "be ta"), (5, "beta longer"), (7, "delta"), (9, "g amma ")], key=repr)
+    stored = spark.read.schema(docs.schema).parquet(written(docs, tmp_path))  # known by file and place
+    assert corpus_pipeline.numbered(stored).select(corpus_pipeline.ROW).distinct().count() == 10
+    assert plain(corpus_pipeline.exact(spark, stored, sf_dir)) == plain(out)
     long = "one two three four five six seven eight nine ten eleven twelve"
     rows = [(None, long), (None, long.upper()), (4, long + "\n"), (4, "quite another text altogether"), (None, "a third one")]
     out = corpus_pipeline.near(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
