@@ -13,6 +13,7 @@ table go along unchanged until the last stage.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +30,22 @@ ROW, GROUP = "_pipeline_row", "_pipeline_group"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with a number for each row, written: a second scan may cut the files differently."""
-    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    """`docs` with a number for each row that every later scan gives it again.
+
+    Rows of a Parquet table are known by file and place in it, however a scan cuts the files; nothing is
+    written for that. Rows from elsewhere are numbered in a written table.
+    """
+    try:
+        files = docs.select("_metadata.file_path", "_metadata.row_index").select("file_path").distinct()
+    except AnalysisException:
+        return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    names = sorted(r[0] for r in files.collect())  # one row per file
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(names)), "_pipeline_no long, _pipeline_file string")
+    placed = docs.select(
+        "*", F.col("_metadata.file_path").alias("_pipeline_file"), F.col("_metadata.row_index").alias("_pipeline_at")
+    ).join(F.broadcast(numbers), "_pipeline_file")
+    row = F.shiftleft("_pipeline_no", 40) + F.col("_pipeline_at")
+    return placed.select(*[placed[c] for c in docs.columns], row.alias(ROW))
 
 
 def as_documents(rows: DataFrame) -> DataFrame:
