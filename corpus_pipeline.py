@@ -58,7 +58,8 @@ def one_of_each(rows: DataFrame, groups: DataFrame, *order: Column) -> DataFrame
     facts = rows.select(F.col(ROW), F.struct(*order, F.col("doc_id").isNull(), "doc_id", ROW).alias("place"))
     best = facts.join(groups, ROW).groupBy(GROUP).agg(F.min("place").alias("place"))
     kept = materialise(best.select(F.col(f"place.{ROW}").alias(ROW)), "pipeline-kept")
-    return rows.join(kept, ROW, "left_semi").drop(ROW)
+    # a merge at every size: how a small table is joined says nothing about a large one
+    return rows.join(kept.hint("merge"), ROW, "left_semi").drop(ROW)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
