@@ -21,10 +21,10 @@ places. The run of windows that share one anchor is a context of at most 2 * WIN
 
 Texts travel compressed. Nothing is kept outside Spark's own shuffles and the checkpoint folder.
 
-Defined results: null text is empty; texts under WINDOW bytes are left whole; rows that share an id and
-text get the same answer and do not count against each other; rows that share an id with different texts
-count as versions of one document, and a place removed in one is removed in all; a null id sorts first;
-an empty table gives an empty result; other columns are not read. Ids must be integers.
+Defined results: null text is empty; texts under WINDOW bytes are left whole; every row is a document of its
+own, also where rows share an id or have none: such rows follow each other by the SHA-256 of their texts, null
+ids first, so that a passage stays in the first of them; an empty table gives an empty result; other columns
+are not read. Ids must be integers.
 """
 
 from __future__ import annotations
@@ -45,7 +45,6 @@ WINDOW, GRAM = 100, 32
 CROWD = 2048
 #: Bytes of one collection for the kernel.
 COLLECTION = 1 << 18
-_NULL_ID = -(1 << 63)
 _BLOCK = 1 << 19
 _A, _B, _C = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _LOW = np.uint64((1 << 20) - 1)
@@ -384,12 +383,16 @@ def _each(step):
 
 
 def _packed(docs: DataFrame) -> DataFrame:
+    """(doc, text, any longs) with the text compressed."""
+
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         pack = zstandard.ZstdCompressor(level=1).compress
         made = pa.array([pack(t) for t in as_bytes(batch.column(1))], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column(0), made], ["doc", "packed"])
+        return pa.RecordBatch.from_arrays([batch.column(0), made, *batch.columns[2:]], names)
 
-    return docs.mapInArrow(_each(step), "doc long, packed binary")
+    names = ["doc", "packed", *docs.columns[2:]]
+    more = "".join(f", {c} long" for c in docs.columns[2:])
+    return docs.mapInArrow(_each(step), f"doc long, packed binary{more}")
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, crowd: int = CROWD) -> DataFrame:
@@ -408,8 +411,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, crowd: int = CROWD) -
         "repeat-windows",
     )
     windows = found.filter("stop = 0")
-    least_of = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place")).alias("first"))
-    crowds = windows.join(least_of, ["h1", "h2"]).filter("struct(doc, place) <> first")
+    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place")).alias("at")).select("h1", "h2", "at.*")
+    # all but the firsts; place and document are in the key, so that a window in every text is no hot key
+    crowds = windows.join(first, ["h1", "h2", "doc", "place"], "left_anti")
     return (
         classes.filter("stop > 0")
         .unionByName(found.filter("stop > 0").select("doc", "place", "stop"))
@@ -417,19 +421,31 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, crowd: int = CROWD) -
     )
 
 
+def _numbered(own: DataFrame) -> DataFrame:
+    """`own` (doc_id, text) with `doc`, a number for each row that ascends with the id.
+
+    Ids that differ are such numbers. Where some are shared or missing, rows are sorted by id and digest and
+    numbered in a written table; rows of one id are spread by their digests.
+    """
+    shared = own.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    if shared.isEmpty():
+        return own.withColumn("doc", F.col("doc_id"))
+    order = ("doc_id", F.sha2("text", 256))
+    dealt = own.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(dealt.withColumn("doc", F.monotonically_increasing_id()), "repeat-rows")
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, crowd: int = CROWD
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 per row of `docs`."""
-    own = texts(docs, id_col, text_col).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), "text"
-    )
+    rows = _numbered(texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")))
+    own = rows.select("doc", "text")
     ranges = repeated_ranges(own, window, crowd).groupBy("doc").agg(
         F.collect_list(F.struct("place", "stop")).alias("ranges")
     )
-    joined = _packed(own).join(ranges, "doc", "left").select(
-        F.when(F.col("doc") != _NULL_ID, F.col("doc")).alias("doc_id"), "packed", "ranges"
-    )
+    packed = _packed(rows.select("doc", "text", "doc_id"))
+    joined = packed.join(ranges, "doc", "left").select("doc_id", "packed", "ranges")
     return joined.mapInArrow(
         _each(_kept), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )

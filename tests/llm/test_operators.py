@@ -175,6 +175,32 @@ def test_repeats_in_made_texts(spark, crowd):
     assert got == without_repeats(rows)
 
 
+@pytest.mark.parametrize("crowd", [2, suffix_dedup.CROWD])
+def test_repeats_keep_one_copy_where_ids_are_shared_or_missing(spark, crowd):
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefgh é") for _ in range(300))
+    rows = [(None, passage), (None, passage + "0123456789"), (7, "x" + passage), (7, "y" + passage[50:]), (7, None)]
+    rows += [(7, "x" + passage), (3, passage[100:]), (9, ""), (9, passage + "end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(repr, map(tuple, suffix_dedup.remove_repeats(df, crowd=crowd).collect())))
+
+    def place(row):
+        return row[0] is not None, row[0] or 0, hashlib.sha256((row[1] or "").encode()).hexdigest()
+
+    placed = sorted(rows, key=place)
+    plain = without_repeats([(k, text or "") for k, (_, text) in enumerate(placed)])
+    assert got == sorted(repr((doc, *plain[k])) for k, (doc, _) in enumerate(placed))
+    kept = sum(figures[0] - figures[1] for figures in plain.values())
+    assert kept >= len(passage.encode())  # the passage is left somewhere
+
+
+def test_windows_in_every_text_leave_no_hot_key(spark):
+    docs = spark.createDataFrame([(1, "a" * 300)], "doc long, text string")
+    plan = suffix_dedup.repeated_ranges(docs)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("LeftAnti" in j and "place" in j and "doc" in j for j in joins)
+
+
 def test_repeats_query(spark, sf_dir, text_of):
     got = {r[0]: tuple(r[1:]) for r in collect("op4_suffix_dedup", spark, sf_dir)}
     assert got == without_repeats(text_of.items())
