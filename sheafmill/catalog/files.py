@@ -289,4 +289,4 @@ def live_progress(spark: SparkSession, d: str) -> DataFrame:
     target = scratch_path(spark, "live")
     writer = progress.progress_stream(progress.live_progress(log), target, scratch_path(spark, "offsets"))
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(target)
+    return progress.read_progress(spark, target)

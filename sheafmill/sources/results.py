@@ -9,7 +9,7 @@ from sheafmill import fixed
 from sheafmill.operators.experiments import normalised
 from sheafmill.functions import text as tx
 from sheafmill.operators.ordered import with_rank
-from sheafmill.session import path_exists
+from sheafmill.sources import versions
 
 STATUSES = ("keep", "discard", "crash", "keep-sa")
 
@@ -50,8 +50,9 @@ def write_results(results: DataFrame, path: str, mode: str = "append", files: in
     """Append log rows as text, values with six decimals and memory with one.
 
     A crash without a score is written as 0; a score missing from any other row stays missing.
-    Every append is a folder with the next number, so that lines keep their order whichever file
-    is finished first.
+    Every append is a folder with a number that it alone could take, so that lines keep their order
+    whichever file is finished first, and appends at the same time do not meet. Mode `overwrite`
+    replaces the whole log.
     """
     if not invalid_rows(results).isEmpty():
         raise ValueError("log rows with an unknown status, or with tabs or line ends in a text")
@@ -72,8 +73,11 @@ def write_results(results: DataFrame, path: str, mode: str = "append", files: in
     # Ranges of (run, line): a long run becomes several files whose names follow its order.
     rows = results.select("run_tag", "seq", line.alias("value"))
     rows = rows.repartitionByRange(*([files] if files else []), "run_tag", "seq").sortWithinPartitions("run_tag", "seq")
-    spark, number = results.sparkSession, 0
-    if mode == "append" and path_exists(spark, path):
-        number = (spark.read.text(path).agg(F.max("append")).first()[0] or 0) + 1
-    rows = rows.select(F.lit(number).alias("append"), "run_tag", "value")
-    rows.write.mode(mode).partitionBy("append", "run_tag").text(path)
+    if mode != "append":
+        rows = rows.select(F.lit(0).alias("append"), "run_tag", "value")
+        rows.write.mode(mode).partitionBy("append", "run_tag").text(path)
+        return
+    spark = results.sparkSession
+    written = versions.numbers(spark, path, "append=")
+    number = versions.take_number(spark, f"{path}/_claims", max(written, default=-1) + 1)
+    rows.select("run_tag", "value").write.partitionBy("run_tag").text(f"{path}/append={number}")

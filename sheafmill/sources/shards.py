@@ -7,38 +7,44 @@ from pyspark.sql import functions as F
 
 from sheafmill import fixed
 from sheafmill.session import path_exists
+from sheafmill.sources import versions
 
 SHARD_SCHEMA = "text string, shuffle_key string, pos long, split string, shard int"
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """The write came to its end and both splits are there."""
-    return all(path_exists(spark, f"{path}/{name}") for name in ("_SUCCESS", "split=train", "split=val"))
+    """A write came to its end and both splits are there."""
+    folder = versions.current(spark, path)
+    return folder is not None and all(path_exists(spark, f"{folder}/split={s}") for s in ("train", "val"))
 
 
 def write_shards(sharded: DataFrame, path: str, mode: str = "skip") -> bool:
     """Write one file per shard; `skip` leaves a complete corpus alone, `reset` replaces it.
 
     Returns whether anything was written. A corpus whose rows all fell into the held-out split
-    is refused, for there would be nothing to train on.
+    is refused, for there would be nothing to train on; the one before stays.
     """
     spark = sharded.sparkSession
     if mode not in ("skip", "reset"):
         raise ValueError("mode must be 'skip' or 'reset'")
     if mode == "skip" and is_complete(spark, path):
         return False
-    (
-        sharded.repartition("split", "shard").sortWithinPartitions("split", "shard", "pos")
-        .write.mode("overwrite").partitionBy("split", "shard").parquet(path)
-    )
-    if not path_exists(spark, f"{path}/split=train"):
-        raise ValueError("no training rows: the corpus is no larger than the held-out split")
+
+    def write(folder: str) -> None:
+        (
+            sharded.repartition("split", "shard").sortWithinPartitions("split", "shard", "pos")
+            .write.partitionBy("split", "shard").parquet(folder)
+        )
+        if not path_exists(spark, f"{folder}/split=train"):
+            raise ValueError("no training rows: the corpus is no larger than the held-out split")
+
+    versions.replace(spark, path, write)
     return True
 
 
 def read_shards(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """The corpus, or one split of it; other splits are not even listed."""
-    shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
+    shards = spark.read.schema(SHARD_SCHEMA).parquet(versions.need_current(spark, path))
     return shards if split is None else shards.where(F.col("split") == split)
 
 

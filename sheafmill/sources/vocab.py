@@ -6,30 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafmill.operators.tokenizer import Vocabulary
-from sheafmill.session import path_exists
+from sheafmill.sources import versions
 
 
 def write_vocab(spark: SparkSession, vocab: Vocabulary, path: str, mode: str = "skip") -> bool:
-    """Write tables `vocab` and `merges`; `skip` leaves a finished vocabulary alone."""
+    """Write tables `vocab` and `merges` as one version; `skip` leaves a finished vocabulary alone."""
     if mode not in ("skip", "reset"):
         raise ValueError("mode must be 'skip' or 'reset'")
     if mode == "skip" and has_vocab(spark, path):
         return False
-    vocab.merges_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")
-    vocab.vocab_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab")
+
+    def write(folder: str) -> None:
+        vocab.merges_frame(spark).coalesce(1).write.parquet(f"{folder}/merges")
+        vocab.vocab_frame(spark).coalesce(1).write.parquet(f"{folder}/vocab")
+
+    versions.replace(spark, path, write)
     return True
 
 
 def has_vocab(spark: SparkSession, path: str) -> bool:
-    return all(path_exists(spark, f"{path}/{t}/_SUCCESS") for t in ("vocab", "merges"))
+    return versions.current(spark, path) is not None
 
 
 def read_vocab_frame(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/vocab")
+    return spark.read.parquet(f"{versions.need_current(spark, path)}/vocab")
 
 
 def read_vocab(spark: SparkSession, path: str) -> Vocabulary:
-    return Vocabulary.from_frames(read_vocab_frame(spark, path), spark.read.parquet(f"{path}/merges"))
+    folder = versions.need_current(spark, path)
+    return Vocabulary.from_frames(spark.read.parquet(f"{folder}/vocab"), spark.read.parquet(f"{folder}/merges"))
 
 
 def vocab_json(vocab: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sheafmill.operators.experiments import RUN, is_status
+from sheafmill.sources import versions
 
 
 def live_progress(results: DataFrame) -> DataFrame:
@@ -21,12 +22,17 @@ def live_progress(results: DataFrame) -> DataFrame:
 
 
 def progress_stream(progress: DataFrame, table: str, checkpoint: str) -> DataStreamWriter:
-    """Keep a Parquet table of all runs up to date; call `start` on the result."""
+    """Keep a table of all runs up to date, a version for each batch; call `start` on the result."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
+        versions.replace(batch.sparkSession, table, batch.write.parquet)
 
     return (
         progress.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
         .foreachBatch(replace)
     )
+
+
+def read_progress(spark: SparkSession, table: str) -> DataFrame:
+    """The table as of the last finished batch."""
+    return spark.read.parquet(versions.need_current(spark, table))

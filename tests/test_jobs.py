@@ -97,7 +97,7 @@ def test_live_progress_follows_the_log(spark, tmp_path):
         stream = spark.readStream.schema(schema).csv(str(folder)).withColumn("status", F.upper("status"))
         writer = progress.progress_stream(progress.live_progress(stream), table, str(tmp_path / "offsets"))
         writer.trigger(availableNow=True).start().awaitTermination()
-        return {r.run_tag: r for r in spark.read.parquet(table).collect()}
+        return {r.run_tag: r for r in progress.read_progress(spark, table).collect()}
 
     now = run("1.csv", [("a", 0, 1.0, "keep"), ("a", 1, 0.0, "crash"), ("b", 0, 2.0, "discard")])
     assert now["a"].best_bpb == 1.0 and now["a"].n_crash == 1 and now["b"].best_bpb is None
