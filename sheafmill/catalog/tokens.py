@@ -195,7 +195,27 @@ def token_bytes(spark: SparkSession, d: str) -> DataFrame:
     return frame.select("token_id", F.hex("token").alias("token"), "is_special", "nbytes")
 
 
-@query("vocab_json")
+# What is not a whole character becomes one replacement mark for each longest beginning of a character.
+_WHOLE = "<[0-7].>|<(C[2-9A-F]|D.)><[89AB].>|" + "|".join(
+    f"{first}{'<[89AB].>' * rest}"
+    for first, rest in (
+        ("<E0><[AB].>", 1), ("<(E[1-9ABCEF])><[89AB].>", 1), ("<ED><[89].>", 1),
+        ("<F0><[9AB].>", 2), ("<F[123]><[89AB].>", 2), ("<F4><8.>", 2),
+    )
+)
+_BEGUN = "<E0><[AB].>|<E[1-9ABCEF]><[89AB].>|<ED><[89].>|<F0><[9AB].>(<[89AB].>)?|<F[123]><[89AB].>(<[89AB].>)?|<F4><8.>(<[89AB].>)?|<..>"
+_VOCAB_JSON_SQL = f"""WITH RECURSIVE {_TOKENS_SQL},
+    marked AS (SELECT token_id, is_special, list_transform(regexp_extract_all(s, '{_WHOLE}|{_BEGUN}'),
+      lambda c: CASE WHEN regexp_full_match(c, '{_WHOLE}') THEN c ELSE '<EF><BF><BD>' END) AS parts FROM spelled),
+    texts AS (SELECT token_id, is_special,
+      decode(unhex(regexp_replace(array_to_string(parts, ''), '[<>]', '', 'g'))) AS token FROM marked),
+    entries AS (SELECT token, min(token_id) AS id FROM texts GROUP BY token),
+    first AS (SELECT min(token_id) FILTER (WHERE is_special) AS bos_id FROM texts)
+    SELECT '{{"vocab":{{' || string_agg(to_json(token)::VARCHAR || ':' || id, ',' ORDER BY encode(token)) || '}},"bos_id":'
+      || any_value(bos_id) || '}}' AS value FROM entries, first"""
+
+
+@query("vocab_json", _VOCAB_JSON_SQL)
 def vocab_json(spark: SparkSession, d: str) -> DataFrame:
     return vocab_source.vocab_json(vocabulary(spark, d).vocab_frame(spark))
 
@@ -346,6 +366,22 @@ def packing_profile_chars(spark: SparkSession, d: str) -> DataFrame:
     return rounded(sequence.packing_distribution(sequence.packed_rows(placed, PACK_CHARS, chunk_rows=CHUNK_ROWS // 10)), "share")
 
 
+@query(
+    "packing_table_chars",
+    f"""WITH RECURSIVE {CLEAN_SQL},
+    placed AS MATERIALIZED (SELECT length(text)::BIGINT AS n, row_number() OVER (ORDER BY md5('42:' || text)) AS i FROM clean),
+    {_windows_sql(PACK_CHARS)},
+    shares AS (SELECT documents, count(*) AS windows, count(*) / sum(count(*)) OVER () AS share FROM windows GROUP BY documents)
+    SELECT documents, windows, printf('%.1f%%', share * 100) AS percent, repeat('█', floor(share * 50)::BIGINT) AS bar
+    FROM shares""",
+)
+def packing_table_chars(spark: SparkSession, d: str) -> DataFrame:
+    docs = corpus.clean(posts(spark, d))
+    placed = with_position(docs.select(F.char_length("text").alias("n"), tx.shuffle_key("text").alias("k")), "k")
+    packed = sequence.packed_rows(placed, PACK_CHARS, chunk_rows=CHUNK_ROWS // 10)
+    return sequence.packing_table(packed).select("documents", "windows", "percent", "bar")
+
+
 _BOS = 256 + len(GIVEN)
 
 
@@ -395,6 +431,21 @@ def batch_assignment(spark: SparkSession, d: str) -> DataFrame:
     return sequence.assign_batches(train, BATCH)
 
 
+EPOCHS = 3
+
+
+@query(
+    "batches_over_epochs",
+    f"""WITH {_PLACED_SQL},
+    train AS (SELECT pos, count(*) OVER () AS n FROM sharded WHERE split = 'train'),
+    run AS (SELECT pos, epoch, (epoch - 1) * n + pos AS place FROM train, (SELECT unnest(range(1, {EPOCHS + 1}))::INT AS epoch))
+    SELECT pos, epoch, place // {BATCH} AS batch_no, (place % {BATCH})::INT AS row_in_batch FROM run""",
+)
+def batches_over_epochs(spark: SparkSession, d: str) -> DataFrame:
+    train = _sharded(spark, d).where(F.col("split") == "train").select("pos")
+    return sequence.batches_over_epochs(train, BATCH, EPOCHS)
+
+
 EVAL_TOKENS = 1_000_000
 
 

@@ -49,6 +49,19 @@ def assign_batches(rows: DataFrame, batch: int) -> DataFrame:
     )
 
 
+def batches_over_epochs(rows: DataFrame, batch: int, epochs: int) -> DataFrame:
+    """First in, first out over several epochs without a break: a batch takes the next epoch's first rows where one ends.
+
+    `pos` numbers the rows of one epoch from 0; `epoch` counts from 1. Only the very last batch may be short.
+    """
+    total = rows.agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = rows.crossJoin(F.broadcast(total)).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
+    at = (F.col("epoch") - 1) * F.col("_rows") + F.col("pos")
+    return repeated.withColumns(
+        {"batch_no": F.floor(at / batch).cast("long"), "row_in_batch": (at % batch).cast("int")}
+    ).drop("_rows")
+
+
 def evaluation_rows(
     rows: DataFrame, batch: int, eval_tokens: int = fixed.EVAL_TOKENS, length: int = fixed.SEQ_LEN
 ) -> DataFrame:
@@ -148,6 +161,12 @@ def packing_distribution(packed: DataFrame) -> DataFrame:
     )
 
 
+def packing_table(packed: DataFrame) -> DataFrame:
+    """The distribution as a report shows it, with a percent text and a bar for each row."""
+    share = F.col("share")
+    return packing_distribution(packed).withColumns({"percent": tx.percent_text(share), "bar": tx.bar_text(share)})
+
+
 def packing_profile(packed: DataFrame) -> DataFrame:
     """Windows, documents per window and the share of windows that hold a single document."""
     histogram = packed.groupBy("documents").agg(F.count(F.lit(1)).alias("w"))

@@ -9,6 +9,7 @@ the later number wins, whichever ends first.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
@@ -20,26 +21,41 @@ def _located(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def create_once(spark: SparkSession, path: str) -> bool:
-    """Create an empty file; of all who try, one gets True.
+def create_once(spark: SparkSession, path: str, content: str = "") -> bool:
+    """Create a file with all of its content at once; of all who try, one gets True.
 
-    The file system decides; on a local disk Hadoop's own call can let two pass, the operating system's cannot.
+    The content is written beside it and given its name in one step, which a file system refuses when the name is
+    taken. On a local disk Hadoop's rename replaces files, the operating system's link does not.
     """
     fs, at = _located(spark, path)
+    beside = f"{path.rsplit('/', 1)[0]}/_new-{uuid.uuid4().hex}"
     if fs.getUri().getScheme() == "file":
         local = fs.makeQualified(at).toUri().getPath()
+        beside = fs.makeQualified(_located(spark, beside)[1]).toUri().getPath()
         os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(beside, "w", encoding="utf-8") as f:
+            f.write(content)
         try:
-            os.close(os.open(local, os.O_CREAT | os.O_EXCL))
+            os.link(beside, local)
         except FileExistsError:
             return False
+        finally:
+            os.unlink(beside)
         return True
+    source = _located(spark, beside)[1]
+    out = fs.create(source, False)
+    out.write(bytearray(content, "utf-8"))
+    out.close()
     try:
-        return fs.createNewFile(at)
+        if fs.rename(source, at):
+            return True
     except Py4JJavaError as e:
-        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
-            return False
-        raise
+        if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+    fs.delete(source, False)
+    if not fs.exists(at):
+        raise OSError(f"{path} could not be created")
+    return False
 
 
 def numbers(spark: SparkSession, folder: str, prefix: str = "") -> list[int]:
@@ -84,6 +100,10 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None], keep:
     create_once(spark, f"{path}/_commits/{number}")
     for old in numbers(spark, f"{path}/_commits")[:-keep]:
         for gone in (f"{path}/_commits/{old}", f"{path}/version={old}"):
-            fs, at = _located(spark, gone)
-            fs.delete(at, True)
+            delete(spark, gone)
     return folder
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _located(spark, path)
+    fs.delete(at, True)

@@ -1,6 +1,8 @@
 """Whole jobs, streams, and every named query against its SQL."""
 
 import csv
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 import pytest
@@ -12,7 +14,7 @@ from sheafmill.operators import experiments
 from sheafmill.plans import corpus as plans
 from sheafmill.plans import experiments as reports
 from sheafmill.session import scratch_path
-from sheafmill.sources import posts, shards
+from sheafmill.sources import posts, shards, versions
 from sheafmill.streaming import ingest, progress
 from tools.check import TABLES, canonical
 
@@ -86,6 +88,53 @@ def test_stream_adds_each_text_once_and_repeats_safely(spark, tmp_path):
     assert len(third) == 4 and set(second) < set(third)
 
 
+def test_streams_at_the_same_time_leave_each_text_once(spark, tmp_path, monkeypatch):
+    sink = str(tmp_path / "sink")
+    made = [spark.createDataFrame([(f"text {i}",) for i in range(lo, lo + 60)], "text string") for lo in (0, 40, 80)]
+    meet, create = threading.Barrier(3), versions.create_once
+    waited = threading.local()
+
+    def together(session, path, content=""):
+        if not getattr(waited, "yes", False):  # all three have read the same sink before the first may commit
+            waited.yes = True
+            meet.wait(60)
+        return create(session, path, content)
+
+    monkeypatch.setattr(ingest.versions, "create_once", together)
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda i: ingest.append_new_documents(sink, f"s{i}")(made[i], 0), range(3)))
+    rows = ingest.read_sink(spark, sink).collect()
+    assert sorted(r.text for r in rows) == sorted(f"text {i}" for i in range(140))
+    assert {r.stream for r in rows} == {"s0", "s1", "s2"}
+    assert [c[0] for c in ingest.commits(spark, sink)] == [0, 1, 2]
+    # nothing is left of the attempts that lost
+    assert len(list((tmp_path / "sink").glob("attempt=*"))) == 3 and not list((tmp_path / "sink" / "_work").iterdir())
+
+
+def test_a_batch_reads_only_its_buckets_and_dead_writers_add_nothing(spark, tmp_path, monkeypatch):
+    sink = str(tmp_path / "sink")
+    ingest.append_new_documents(sink, "a")(spark.createDataFrame([(f"t{i}",) for i in range(500)], "text string"), 0)
+    folders = [c[3] for c in ingest.commits(spark, sink)]
+    one = ingest.bucketed(spark.createDataFrame([("t7",)], "text string")).first().bucket
+    known = ingest.known_hashes(spark, sink, folders, [one])
+    files = {f.rsplit("/", 2)[1] for f in known.select("_metadata.file_path").distinct().toPandas()["file_path"]}
+    assert files == {f"bucket={one}"}
+    assert "(bucket#" in known._jdf.queryExecution().toString().split("PartitionFilters: ")[1]
+
+    def dies(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest.versions, "create_once", dies)
+        with pytest.raises(RuntimeError):
+            ingest.append_new_documents(sink, "b")(spark.createDataFrame([("new",), ("t7",)], "text string"), 0)
+    assert ingest.read_sink(spark, sink).count() == 500
+    write = ingest.append_new_documents(sink, "b")
+    write(spark.createDataFrame([("new",), ("t7",), (None,)], "text string"), 0)
+    write(spark.createDataFrame([], "text string"), 1)
+    assert ingest.read_sink(spark, sink).count() == 501
+
+
 def test_live_progress_follows_the_log(spark, tmp_path):
     folder, table = tmp_path / "log", str(tmp_path / "live")
     folder.mkdir()
