@@ -150,9 +150,20 @@ def bpe_merges(spark: SparkSession, d: str) -> DataFrame:
     return trained.merges_frame(spark).select("rank", F.hex("left").alias("left"), F.hex("right").alias("right"))
 
 
+_CHARACTERS = "<(C[2-9A-F]|D[0-9A-F])><[89AB][0-9A-F]>"
+_TOKENS_SQL = f"""{_WALK_SQL},
+    tokens AS (
+      SELECT i::INT AS token_id, printf('%02X', i) AS token, false AS is_special FROM range(256) t(i)
+      UNION ALL SELECT 256 + rank, l || r, false FROM learned
+      UNION ALL SELECT {256 + MERGES} + i::INT, hex(encode('<|reserved_' || i || '|>')), true FROM range(4) t(i)),
+    spelled AS (SELECT *, regexp_replace(token, '(..)', '<\\1>', 'g') AS s FROM tokens),
+    parts AS (SELECT *, regexp_replace(s, '{_CHARACTERS}', 'cc', 'g') AS p FROM spelled)"""
+
+
 @query(
     "vocabulary_facts",
-    f"SELECT {VOCAB_SIZE}::BIGINT AS vocab_size, 4::BIGINT AS n_special, {VOCAB_SIZE - 4} AS bos_id",
+    f"""WITH RECURSIVE {_TOKENS_SQL} SELECT count(*) AS vocab_size, count(*) FILTER (WHERE is_special) AS n_special,
+    min(token_id) FILTER (WHERE is_special) AS bos_id FROM tokens""",
 )
 def vocabulary_facts(spark: SparkSession, d: str) -> DataFrame:
     return tk.vocabulary_facts(vocabulary(spark, d).vocab_frame(spark))
@@ -174,14 +185,6 @@ def token_byte_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 # Decoded alone, a token counts its whole characters, and three bytes for each malformed part.
-_CHARACTERS = "<(C[2-9A-F]|D[0-9A-F])><[89AB][0-9A-F]>"
-_TOKENS_SQL = f"""{_WALK_SQL},
-    tokens AS (
-      SELECT i::INT AS token_id, printf('%02X', i) AS token, false AS is_special FROM range(256) t(i)
-      UNION ALL SELECT 256 + rank, l || r, false FROM learned
-      UNION ALL SELECT {256 + MERGES} + i::INT, hex(encode('<|reserved_' || i || '|>')), true FROM range(4) t(i)),
-    spelled AS (SELECT *, regexp_replace(token, '(..)', '<\\1>', 'g') AS s FROM tokens),
-    parts AS (SELECT *, regexp_replace(s, '{_CHARACTERS}', 'cc', 'g') AS p FROM spelled)"""
 _TOKEN_BYTES_SQL = f"""WITH RECURSIVE {_TOKENS_SQL}
     SELECT token_id, token, is_special, CASE WHEN is_special THEN 0 ELSE
       (length(regexp_replace(p, '<[89A-F][0-9A-F]>', '', 'g')) - 2 * len(regexp_extract_all(p, 'cc'))) // 4
@@ -242,9 +245,8 @@ def vocab_saved(spark: SparkSession, d: str) -> DataFrame:
     return frame.select("token_id", F.hex("token").alias("token"), "is_special", "nbytes")
 
 
-@query(
-    "encode_trained",
-    f"""WITH RECURSIVE {_WALK_SQL},
+# Ids and number of tokens of every pre-token of every document, under the vocabulary SQL has trained itself.
+_ENCODED_SQL = f"""{_WALK_SQL},
     ids AS (SELECT printf('%02X', i) AS token, i::INT AS id FROM range(256) t(i) UNION ALL SELECT l || r, 256 + rank FROM learned),
     final AS (SELECT regexp_replace(w, '[<>]', '', 'g') AS h, w[2:-2] AS parts FROM walk WHERE step = {MERGES}),
     spelled AS (SELECT f.h, string_agg(i.id, ',' ORDER BY f.k) AS ids, count(*) AS n FROM (
@@ -253,7 +255,12 @@ def vocab_saved(spark: SparkSession, d: str) -> DataFrame:
     p AS (SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k FROM (
         SELECT doc_id, {pieces_sql("text")} AS pieces FROM documents)),
     e AS (SELECT doc_id, k, coalesce(s.ids, i.id::VARCHAR) AS ids, coalesce(s.n, 1) AS n FROM p
-      LEFT JOIN spelled s ON s.h = hex(encode(piece)) LEFT JOIN ids i ON i.token = hex(encode(piece)) AND length(i.token) = 2)
+      LEFT JOIN spelled s ON s.h = hex(encode(piece)) LEFT JOIN ids i ON i.token = hex(encode(piece)) AND length(i.token) = 2)"""
+
+
+@query(
+    "encode_trained",
+    f"""WITH RECURSIVE {_ENCODED_SQL}
     SELECT doc_id, (sum(n) + 1)::INT AS n_tokens, md5('{256 + MERGES},' || string_agg(ids, ',' ORDER BY k)) AS tokens_digest
     FROM e GROUP BY doc_id""",
 )
@@ -478,6 +485,76 @@ def bpb_ratio(spark: SparkSession, d: str) -> DataFrame:
     return rounded(sequence.bits_per_byte(losses, tokens), "total_nats", "bpb")
 
 
+# The token reports once more, under the trained vocabulary and over all documents.
+_TRAINED_SIZES_SQL = f"""{_ENCODED_SQL},
+    sizes AS MATERIALIZED (SELECT d.doc_id, coalesce(sum(e.n), 0)::BIGINT AS n FROM documents d LEFT JOIN e USING (doc_id)
+      GROUP BY d.doc_id)"""
+
+
+def _trained_sizes(spark: SparkSession, d: str) -> DataFrame:
+    encoded = tk.encode(documents(spark, d), vocabulary(spark, d))
+    return encoded.select(
+        "doc_id", F.size("tokens").cast("long").alias("n"), tx.shuffle_key(F.col("doc_id").cast("string")).alias("k")
+    )
+
+
+@query(
+    "trained_token_profile",
+    f"""WITH RECURSIVE {_TRAINED_SIZES_SQL}, s AS (SELECT n::DOUBLE AS len FROM sizes) SELECT {_PROFILE_SQL} FROM s""",
+)
+def trained_token_profile(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(profile.length_profile(_trained_sizes(spark, d), F.col("n")), *_PROFILE_FLOATS, places=4)
+
+
+@query(
+    "trained_context_fit",
+    f"""WITH RECURSIVE {_TRAINED_SIZES_SQL} SELECT context, round(avg((n <= context)::INT), 6) AS share
+    FROM sizes, (SELECT unnest([64, 128, 256, 512, 1024, 2048])::INT AS context) GROUP BY context""",
+)
+def trained_context_fit(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(profile.context_fit(_trained_sizes(spark, d), F.col("n")), "share")
+
+
+@query(
+    "trained_implications",
+    f"""WITH RECURSIVE {_TRAINED_SIZES_SQL}, m AS (SELECT floor(median(n))::BIGINT AS m FROM sizes)
+    SELECT m AS median_tokens, m * 2 AS two_per_row_len FROM m""",
+)
+def trained_implications(spark: SparkSession, d: str) -> DataFrame:
+    return profile.implications(profile.length_profile(_trained_sizes(spark, d), F.col("n")))
+
+
+@query(
+    "trained_packing_table",
+    f"""WITH RECURSIVE {_TRAINED_SIZES_SQL},
+    placed AS MATERIALIZED (SELECT n, row_number() OVER (ORDER BY md5('42:' || doc_id)) AS i FROM sizes),
+    {_windows_sql(fixed.PACK_LEN)},
+    shares AS (SELECT documents, count(*) AS windows, count(*) / sum(count(*)) OVER () AS share FROM windows GROUP BY documents)
+    SELECT documents, windows, printf('%.1f%%', share * 100) AS percent, repeat('█', floor(share * 50)::BIGINT) AS bar
+    FROM shares""",
+)
+def trained_packing_table(spark: SparkSession, d: str) -> DataFrame:
+    placed = with_position(_trained_sizes(spark, d), "k")
+    packed = sequence.packed_rows(placed, chunk_rows=CHUNK_ROWS // 10)
+    return sequence.packing_table(packed).select("documents", "windows", "percent", "bar")
+
+
+@query(
+    "trained_training_rows",
+    f"""WITH RECURSIVE {_ENCODED_SQL},
+    t AS (SELECT d.doc_id, string_split(concat_ws(',', '{256 + MERGES}', string_agg(e.ids, ',' ORDER BY e.k)), ',') AS ids
+      FROM documents d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id),
+    r AS (SELECT doc_id, list_resize(ids, {SEQ_LEN + 1}, '{256 + MERGES}') AS r FROM t)
+    SELECT doc_id, md5(array_to_string(r[1:{SEQ_LEN}], ',') || '|' || array_to_string(r[2:{SEQ_LEN + 1}], ','))
+      AS row_digest FROM r""",
+)
+def trained_training_rows(spark: SparkSession, d: str) -> DataFrame:
+    known = vocabulary(spark, d)
+    rows = sequence.training_rows(tk.encode(documents(spark, d), known, prepend_bos=True), known.bos_id, SEQ_LEN)
+    digest = F.md5(F.concat_ws("|", F.array_join("inputs", ","), F.array_join("targets", ",")).cast("binary"))
+    return rows.select("doc_id", digest.alias("row_digest"))
+
+
 @lru_cache(maxsize=4)
 def _full(app: str, sf_dir: str) -> tk.Vocabulary:
     return tk.train_bpe(documents(SparkSession.active(), sf_dir), fixed.VOCAB_SIZE)
