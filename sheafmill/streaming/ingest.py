@@ -17,8 +17,9 @@ from sheafmill.sources.submissions import parse_submissions
 
 SINK_SCHEMA = "text string, text_hash string, stream string, batch long"
 ROW_SCHEMA = "text string, text_hash string, bucket string"
-#: Leading hex digits of a text's hash that name its bucket. A batch makes a folder for each bucket it has texts in.
-BUCKET_DIGITS = 2
+#: Leading hex digits of a text's hash that name its bucket. A batch makes a file for each bucket it has texts in, so
+#: more digits spare small batches reading, and cost files.
+BUCKET_DIGITS = 1
 
 
 def stream_submissions(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
