@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -396,3 +397,17 @@ def test_training_takes_most_of_a_round(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(merges, "SAMPLE", 5_000)
     tk.train_bpe(spark.read.parquet(f"{sf_dir}/documents.parquet"), 256 + 600 + 4)
     assert len(rounds) <= 20, len(rounds)
+
+
+def test_encoding_works_on_groups_of_bounded_size(monkeypatch):
+    """The working memory of a task does not grow with its Arrow batch; the ids stay the same."""
+    vocab = tk.Vocabulary([bytes([b]) for b in range(256)] + [b"ab", b"abc"])
+    rows = [["abc", "abd"], [], ["x"] * 9, ["abab", "é"], ["abc"], []] * 20
+    batch = pa.array(rows, pa.list_(pa.string())).slice(1)
+    whole = tk.encoder(vocab).func(batch).to_pylist()
+    seen, merge_pieces = [], tk.merge_pieces
+    monkeypatch.setattr(tk, "TOGETHER", 8, raising=False)
+    monkeypatch.setattr(tk, "merge_pieces", lambda symbols, *a, **k: seen.append(len(symbols)) or merge_pieces(symbols, *a, **k))
+    assert tk.encoder(vocab).func(batch).to_pylist() == whole
+    assert whole[:4] == [[], [120] * 9, [256, 256, 195, 169], [257]] and len(seen) > 40
+    assert tk.encoder(vocab).func(batch.slice(0, 0)).to_pylist() == []
