@@ -9,6 +9,9 @@ lets those grow in turn, up to the greatest length. That closes the border: both
 phrase are frequent, so they were proposed, or failed and joined, or were let in by the expansion, and in
 each case the phrase was counted. The result does not depend on the sample.
 
+A pass reads the texts twice. It first sums counts by hashes cut to 32 bits, which are short to shuffle; phrases under a
+cut hash with too small a sum cannot be frequent, and only the others are then counted by their words.
+
 Proposals reach the tasks as a bitmap over 64-bit hashes, sized by their number up to a fixed bound. A collision lets a phrase be counted
 that need not be, never the reverse, and counts are kept by the phrase itself, so results do not depend
 on hashes. Within a task phrases are numbered exactly, level by level, and summed before the shuffle.
@@ -87,9 +90,12 @@ class Chunk:
     def n_words(self) -> int:
         return int(np.count_nonzero(self.tokens))
 
-    def spell(self, first: np.ndarray, n: int) -> pa.Array:
-        """The phrases of n words that start at the given places."""
+    def spell(self, first: np.ndarray | None, n: int, chosen: np.ndarray) -> pa.Array:
+        """The chosen ones of the phrases of n words that start at the given places."""
         words = pa.array(self.words, pa.binary())
+        if first is None:
+            return words.slice(1).filter(pa.array(chosen))
+        first = first[chosen]
         each = [words.take(pa.array(self.tokens[first + k])) for k in range(n)]
         return each[0] if n == 1 else pc.binary_join_element_wise(*each, pa.scalar(b" ", pa.binary()))
 
@@ -103,15 +109,17 @@ class Chunk:
             codes, distinct = _numbered(now[inside])
             yield distinct, np.bincount(codes, minlength=len(distinct))
 
-    def counted(self, proposed: np.ndarray, before: np.ndarray | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-        """(words, phrases, counts) of proposals and their border.
+    def counted(
+        self, proposed: np.ndarray, before: np.ndarray | None
+    ) -> Iterator[tuple[int, np.ndarray | None, np.ndarray, np.ndarray]]:
+        """(words, places, hashes, counts) of proposals and their border; single words have no place.
 
         With `before`, only phrases that were not counted for it, and those grow whether proposed or not.
         """
         tokens, size = self.tokens, len(self.words)
         if before is None:
             times = np.bincount(tokens, minlength=size)[1:]
-            yield 1, pa.array(self.words[1:], pa.binary()), times
+            yield 1, None, self.hashes[1:], times
         word = self.hashes[tokens]
         grows = (tokens != 0) & _has(proposed, self.hashes)[tokens]
         grew = None if before is None else (tokens != 0) & _has(before, self.hashes)[tokens]
@@ -127,12 +135,13 @@ class Chunk:
             first = np.empty(len(distinct), np.int64)
             first[codes[::-1]] = at[::-1]
             times = np.bincount(codes, minlength=len(distinct))
+            hashes = _follow(now[first], word[first + n - 1])
             if grew is not None:
                 old = grew[:-1] & grew[1:]
                 fresh = ~old[first]
-                yield n, self.spell(first[fresh], n), times[fresh]
+                yield n, first[fresh], hashes[fresh], times[fresh]
             else:
-                yield n, self.spell(first, n), times
+                yield n, first, hashes, times
             if n == LONGEST:
                 return
             number = np.zeros(len(both), np.int64)
@@ -186,24 +195,52 @@ def propose(rows: DataFrame, least: float) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(times)], ["hash", "n"])
 
     counted = rows.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    hashes = materialise(counted.filter(F.col("n") >= least).select("hash"), "phrases-proposed")
+    return _map(materialise(counted.filter(F.col("n") >= least).select("hash"), "phrases-proposed"))
+
+
+def _map(hashes: DataFrame) -> np.ndarray:
+    """The map of a table of hashes, sized by their number."""
     low, high = MAP_BITS
     return _bitmap(hashes, min(max(low, (16 * hashes.count()).bit_length()), high))
 
 
+def common(rows: DataFrame, proposed: np.ndarray, before: np.ndarray | None, least: int) -> np.ndarray:
+    """The map of phrases counted in a pass whose hashes, cut to 32 bits, occur `least` times or more; it has
+    every phrase that does, since phrases that share a cut hash only add to its count."""
+    packed, old = proposed.tobytes(), None if before is None else before.tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(packed, np.uint64)
+        done = None if old is None else np.frombuffer(old, np.uint64)
+        for chunk in _chunks(batches):
+            for _, _, hashes, times in chunk.counted(bitmap, done):
+                cut = (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(cut), pa.array(times.astype(np.int64))], ["cut", "n"])
+
+    summed = rows.mapInArrow(run, "cut int, n long").groupBy("cut").agg(F.sum("n").alias("n"))
+    hashes = summed.filter(F.col("n") >= least).select(F.shiftleft(F.col("cut").cast("long"), 32).alias("hash"))
+    return _map(materialise(hashes, "phrases-common"))
+
+
 def count(rows: DataFrame, proposed: np.ndarray, before: np.ndarray | None, least: int) -> DataFrame:
     """lang, size, phrase, f of what a pass counts `least` times; in the first also the words of a language, as ''."""
     packed, old = proposed.tobytes(), None if before is None else before.tobytes()
+    often = common(rows, proposed, before, least).tobytes()
+
+    def spelled(chunk: Chunk, bitmap: np.ndarray, done: np.ndarray | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+        if done is None:
+            yield pa.array([b""]), np.array([chunk.n_words()])
+        wanted = np.frombuffer(often, np.uint64)
+        for n, first, hashes, times in chunk.counted(bitmap, done):
+            chosen = _has(wanted, hashes)
+            yield chunk.spell(first, n, chosen), times[chosen]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(packed, np.uint64)
         done = None if old is None else np.frombuffer(old, np.uint64)
         for chunk in _chunks(batches):
-            found = chunk.counted(bitmap, done)
-            if done is None:
-                found = [(0, pa.array([b""]), np.array([chunk.n_words()])), *found]
             head = pa.scalar(chunk.lang.encode(), pa.binary())
-            for _, phrases, times in found:
+            for phrases, times in spelled(chunk, bitmap, done):
                 keys = pc.binary_join_element_wise(head, phrases.cast(pa.binary()), pa.scalar(b"\t", pa.binary()))
                 yield pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(times.astype(np.int64))], ["key", "f"])
 

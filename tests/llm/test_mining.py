@@ -8,6 +8,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sheafmill.llm import lexical, markov, phrases
@@ -241,3 +242,19 @@ def test_search_of_odd_rows(spark, odd, odd_clashing, nothing):
         assert sorted(map(tuple, lexical.search(rows, items).collect()), key=repr) == want
     assert lexical.search(nothing, items).count() == 0
     assert lexical.search(odd, items.limit(0)).count() == 0
+
+
+def test_only_phrases_that_can_be_frequent_are_counted_by_their_words(spark):
+    """The first reading of a pass rules out rare phrases by short hashes, and never a frequent one."""
+    texts = ["alpha beta gamma"] * 120 + [f"rare{k} alpha word{k}" for k in range(300)]
+    rows = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    proposed = phrases.propose(rows, 1.0)
+    often = phrases.common(rows, proposed, None, 100)
+    seed = xxhash.xxh64_intdigest(b"en")
+    a, b, c = (np.array([xxhash.xxh64_intdigest(w, seed)], np.uint64) for w in (b"alpha", b"beta", b"gamma"))
+    ab, bc = phrases._follow(a, b), phrases._follow(b, c)
+    assert all(phrases._has(often, h)[0] for h in (a, b, c, ab, bc, phrases._follow(ab, c)))
+    rare = np.array([xxhash.xxh64_intdigest(f"rare{k}".encode(), seed) for k in range(300)], np.uint64)
+    assert phrases._has(proposed, rare).all() and phrases._has(often, rare).sum() < 10
+    got = {r.phrase: r.f for r in phrases.count(rows, proposed, None, 100).collect()}
+    assert got == {"": 1260, "alpha": 420, "beta": 120, "gamma": 120, "alpha beta": 120, "beta gamma": 120, "alpha beta gamma": 120}
