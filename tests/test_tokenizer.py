@@ -411,3 +411,12 @@ def test_encoding_works_on_groups_of_bounded_size(monkeypatch):
     assert tk.encoder(vocab).func(batch).to_pylist() == whole
     assert whole[:4] == [[], [120] * 9, [256, 256, 195, 169], [257]] and len(seen) > 40
     assert tk.encoder(vocab).func(batch.slice(0, 0)).to_pylist() == []
+
+
+def test_a_ranking_keeps_no_more_than_its_counts_need():
+    from sheafmill.operators import merges
+
+    ranking = merges.Ranking({(97, 98): 5, (98, 99): 4}, [bytes([b]) for b in range(256)])
+    for k in range(20_000):
+        ranking.change((98, 99), 1 if k % 2 else -1)
+    assert len(ranking.heap) < 2_000 and ranking.first() == (97, 98) and ranking.counts[98, 99] == 4
