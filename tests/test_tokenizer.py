@@ -420,3 +420,47 @@ def test_a_ranking_keeps_no_more_than_its_counts_need():
     for k in range(20_000):
         ranking.change((98, 99), 1 if k % 2 else -1)
     assert len(ranking.heap) < 2_000 and ranking.first() == (97, 98) and ranking.counts[98, 99] == 4
+
+
+@pytest.mark.parametrize("other", [0, 1200])
+def test_pieces_side_by_side_equal_one_by_one(other):
+    """With all pairs in a grid, and with more symbols than a grid takes."""
+    from sheafmill.operators import bpe
+
+    rng = random.Random(5)
+    base = [bytes([b]) for b in range(256)] + [b"zq%d" % i for i in range(other)]
+    for _ in range(20):
+        longer = list({bytes(rng.choices(b"abc", k=rng.randint(2, 5))) for _ in range(12)})
+        table = tk.Vocabulary(base + longer).pair_table()
+        words = [bytes(rng.choices(b"abcd", k=rng.choice([1, 2, 5, 9, bpe.LONG, bpe.LONG + 1]))) for _ in range(40)]
+        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
+        piece = np.repeat(np.arange(40), [len(w) for w in words])
+        symbols, of = bpe.merge_pieces(flat, piece, table, one_by_one=True)
+        for k, word in enumerate(words):
+            assert symbols[of == k].tolist() == bpe.merge_long(list(word), table.as_dict())
+
+
+def test_a_merge_looks_up_only_the_pairs_beside_it(monkeypatch):
+    from sheafmill.operators import bpe
+
+    base = [bytes([b]) for b in range(256)] + [b"zq%d" % i for i in range(1200)]
+    table = tk.Vocabulary(base + [b"ab", b"cd", b"abcd"]).pair_table()
+    seen, look_up = [], bpe.PairTable.look_up
+    monkeypatch.setattr(bpe.PairTable, "look_up", lambda t, a, b: seen.append(len(a)) or look_up(t, a, b))
+    flat = np.frombuffer(b"abcd" * 5 * 100, np.uint8).astype(np.int32)
+    symbols, _ = bpe.merge_pieces(flat, np.repeat(np.arange(100), 20), table, one_by_one=True)
+    assert len(symbols) == 500
+    assert sum(seen) <= len(flat) + 3 * (len(flat) - len(symbols))
+
+
+def test_decoding_keeps_the_ids_in_python(spark, vocab, monkeypatch):
+    frame = docs(spark, TEXTS)
+    plan = tk.encode(frame, vocab).select(tk.decoded("tokens", vocab).alias("t"))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("ArrowEvalPython") == 1 and "transform" not in plan.toString()
+    rows = [([104, 105],), ([],), (None,), ([0xC3],), ([0xC3, 0xA9],)] * 3
+    broken = spark.createDataFrame(rows, "tokens array<int>").coalesce(1)
+    monkeypatch.setattr(tk, "TOGETHER", 3)
+    assert [r[0] for r in broken.select(tk.decoded("tokens", vocab)).collect()] == ["hi", "", None, "�", "é"] * 3
+    for unknown in ([104, -1], [104, None]):
+        with pytest.raises(Exception, match="outside the vocabulary"):
+            spark.createDataFrame([(unknown,)], "tokens array<int>").select(tk.decoded("tokens", vocab)).collect()
